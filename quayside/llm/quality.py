@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm import textnum as T
@@ -16,7 +16,7 @@ from quayside.session import cut
 
 SYMBOLS = b"#*$%&|<>"
 SEPARATORS = " \t\n\x0b\x0c\r"
-COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_digits", "n_punct", "n_stops")
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_digits", "n_punct")
 STATS = "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS)
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -31,7 +31,6 @@ IS_SYMBOL = _table(SYMBOLS)
 IS_UPPER = _table(bytes(range(65, 91)))
 IS_DIGIT = _table(bytes(range(48, 58)))
 IS_PUNCT = _table(b"!\"'(),-./:;?@[\\]^_`{}~+=")
-IS_STOP = _table(b".!?")
 
 
 def _per_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -80,7 +79,6 @@ def rule_counts(texts: pa.Array) -> dict[str, np.ndarray]:
             "n_upper": _per_text(IS_UPPER[d], o),
             "n_digits": _per_text(IS_DIGIT[d], o),
             "n_punct": _per_text(IS_PUNCT[d], o),
-            "n_stops": _per_text(IS_STOP[d], o),
         }
         for k, v in found.items():
             out[k].append(v)
@@ -94,11 +92,11 @@ def _stat_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def features(c: dict[str, np.ndarray]) -> np.ndarray:
-    """Rule statistics that do not grow with the text, and its length on a log scale."""
+    """Rule statistics that do not grow with the text."""
     words, chars, lines = (np.maximum(c[k], 1).astype(float) for k in ("n_words", "word_chars", "n_lines"))
     return np.column_stack([
-        np.log1p(c["n_words"]), chars / words, np.sqrt(c["n_symbols"] / words), np.sqrt(c["n_dup_lines"] / lines), c["n_repeat_words"] / words,
-        np.log1p(words / lines), np.sqrt(c["n_upper"] / chars), np.sqrt(c["n_digits"] / chars), np.sqrt(c["n_punct"] / chars), np.sqrt(c["n_stops"] / words),
+        chars / words, np.sqrt(c["n_symbols"] / words), np.sqrt(c["n_dup_lines"] / lines), c["n_repeat_words"] / words,
+        np.sqrt(c["n_upper"] / chars), np.sqrt(c["n_digits"] / chars), np.sqrt(c["n_punct"] / chars),
     ])
 
 
@@ -165,18 +163,22 @@ def grow(x: np.ndarray, trees: int, rows: int, seed: int) -> Forest:
 
 @dataclass(frozen=True)
 class Params:
-    """sample_rows bounds the labelled good rows that trees are grown from; the threshold uses every labelled row.
+    """sample_rows bounds the labelled rows that trees are grown from; the threshold uses every labelled row.
     good_loss: share of good labelled rows that the threshold may reject."""
 
     trees: int = 100
-    tree_rows: int = 256
+    tree_rows: int = 64
     sample_rows: int = 8192
-    good_loss: float = 0.005
+    good_loss: float = 0.02
     bins: int = 2000
     min_words: int = 50
     seed: int = 7
 
 
+def base_failed(params: Params) -> Column:
+    return (F.col("n_words") < params.min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+
+
 def _score_batches(forest: Forest):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -187,17 +189,19 @@ def _score_batches(forest: Forest):
 
 
 def fit(stats: DataFrame, labels: DataFrame, params: Params = Params()) -> Forest:
-    """Trees from a bounded sample of good labelled rows, threshold from the score histogram of all labelled rows."""
+    """Trees from a bounded sample of labelled rows, threshold from the score histogram of all labelled rows."""
     known = (
         labels.select(F.col("doc_id").cast("long").alias("id_"), F.col("quality").cast("int").alias("quality"))
         .filter("quality IN (0, 1) AND id_ IS NOT NULL").groupBy("id_").agg(F.min("quality").alias("quality"))
     )
-    marked = cut(stats.join(known, F.col("doc_id") == F.col("id_")).drop("id_"))
-    sample = marked.filter("quality = 1").orderBy(F.xxhash64("doc_id"), "doc_id", *COUNTS).limit(params.sample_rows).select(*COUNTS).collect()
+    # Rows that the base rules reject anyway say nothing about the rest.
+    marked = cut(stats.filter(~base_failed(params)).join(known, F.col("doc_id") == F.col("id_")).drop("id_"))
+    sample = marked.orderBy(F.xxhash64("doc_id"), "doc_id", *COUNTS).limit(params.sample_rows).select(*COUNTS).collect()
     x = np.array([tuple(r) for r in sample], dtype=np.int64).reshape(-1, len(COUNTS))
     forest = grow(features({c: x[:, i] for i, c in enumerate(COUNTS)}), params.trees, params.tree_rows, params.seed)
     if not len(forest.feature):
         return forest
+    # The lowest threshold at which no more than good_loss of the good rows are rejected.
     hist = (
         marked.filter("quality = 1").mapInArrow(_score_batches(forest), f"{STATS}, quality int, anomaly double")
         .groupBy(F.floor(F.col("anomaly") * params.bins).alias("bin")).agg(F.count("*").alias("n")).orderBy(F.desc("bin")).collect()
@@ -215,15 +219,14 @@ def fit(stats: DataFrame, labels: DataFrame, params: Params = Params()) -> Fores
 def judged(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, anomaly for each row of docs.
 
-    Null texts count as empty: no words, so base_failed. Without labelled good rows there are no trees and kept is not
+    Null texts count as empty: no words, so base_failed. Without labelled rows there are no trees and kept is not
     base_failed. Labels that are null, not 0 or 1, or repeated (the smallest counts) do no harm. Repeated rows are judged
     each; an empty table gives an empty result; other columns are ignored.
     """
     stats = cut(keyed_texts(docs).mapInArrow(_stat_batches, STATS))
     forest = fit(stats, labels, params)
-    failed = (F.col("n_words") < params.min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return (
-        stats.mapInArrow(_score_batches(forest), f"{STATS}, anomaly double").withColumn("base_failed", failed)
+        stats.mapInArrow(_score_batches(forest), f"{STATS}, anomaly double").withColumn("base_failed", base_failed(params))
         .select(
             "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
             (~F.col("base_failed") & (F.col("anomaly") < forest.threshold)).alias("kept"), "anomaly",
