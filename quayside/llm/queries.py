@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import exact_dedup, lm, packing, quality, secrets, simhash, toxicity
+from quayside.llm import exact_dedup, lm, packing, quality, secrets, simhash, suffix, toxicity
 from quayside.llm.tables import table
 
 
@@ -23,6 +23,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scored(table(spark, sf_dir, "documents"))
 
@@ -40,7 +44,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_near_dedup, op2_packing, op3_exact_dedup, op5_lm_scoring, op6_quality_rules, op7_secret_scan, op10_toxicity)
+    f.__name__: f for f in (op1_simhash_near_dedup, op2_packing, op3_exact_dedup, op4_suffix_dedup, op5_lm_scoring, op6_quality_rules, op7_secret_scan, op10_toxicity)
 }
 
 ORACLE: dict[str, str] = {
