@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import exact_dedup, lm, packing, quality, secrets, simhash, suffix, toxicity
+from quayside.llm import exact_dedup, lines, lm, packing, pieces, quality, secrets, simhash, suffix, toxicity
 from quayside.llm.tables import table
 
 
@@ -39,13 +39,25 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.found(table(spark, sf_dir, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.without_recurring_lines(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+def op9_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), samples=2)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_near_dedup, op2_packing, op3_exact_dedup, op4_suffix_dedup, op5_lm_scoring, op6_quality_rules, op7_secret_scan, op10_toxicity)
-}
+    f.__name__: f
+    for f in (
+        op1_simhash_near_dedup, op2_packing, op3_exact_dedup, op4_suffix_dedup, op5_lm_scoring, op6_quality_rules, op7_secret_scan, op8_line_dedup,
+        op9_sentencepiece_sampling, op10_toxicity,
+    )
+}
 
 ORACLE: dict[str, str] = {
     "op3_exact_dedup": """
