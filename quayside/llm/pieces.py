@@ -51,7 +51,8 @@ class Pieces:
         if crossing := [p for p in self.arcs if re.search(f"[^{MARK}]{MARK}", p) or ("\n" in p and len(p) > 1)]:
             raise ValueError(f"pieces cross words: {crossing[:3]}")
         self.prefixes = {x[:n] for x in self.arcs for n in range(1, len(x) + 1)}
-        self.suffixes = {x[n:] for x in self.arcs for n in range(len(x))}
+        #: Every end of a piece, with its arc if it is a piece itself.
+        self.suffixes = {x[n:]: None for x in self.arcs for n in range(len(x))} | {x: (w, (i,)) for x, (w, i) in self.arcs.items()}
         self.joined = {x[n : n + 2] for x in self.arcs for n in range(len(x) - 1)}
         self.bytes = {b: sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)}
         self.unknown = sp.unk_id()
@@ -121,8 +122,7 @@ class Pieces:
         """Lists the best segmentations of words, in order, so that a word goes on from what it shares with the one before."""
         if len(self.words) > CACHE:
             self.words.clear()
-        exp, log, take = math.exp, math.log, self.arcs.get
-        suffixes, before = self.suffixes, ""
+        exp, log, take, before = math.exp, math.log, self.suffixes.get, ""
         best: list[list] = [[(0.0, -1, 0, ())]]
         mass, more = [0.0], [False]
         for word in sorted(w for w in words if w not in self.words):
@@ -135,9 +135,9 @@ class Pieces:
             before = word
             for j in range(n + 1, len(word) + 1):
                 arcs, i = [], j - 1
-                while i >= 0 and (part := word[i:j]) in suffixes:
-                    if (got := take(part)) is not None:
-                        arcs.append((i, got[0], (got[1],)))
+                while i >= 0 and (got := take(word[i:j], 0)) != 0:
+                    if got is not None:
+                        arcs.append((i, *got))
                     i -= 1
                 if not arcs or arcs[0][0] != j - 1:
                     ids = tuple(self.bytes[b] for b in word[j - 1].encode())
@@ -244,16 +244,19 @@ def _log_inclusion(x: float) -> float:
 
 def sample(model: Pieces, texts: list[str], seeds: np.ndarray, k: int) -> list[list[tuple[float, float, float, bytes]]]:
     """For each text its k segmentations, or all if there are fewer: (log-probability, perturbed, log of inclusion, ids)."""
-    cuts: dict[str, list[str]] = {}
-    split = []
-    for t in texts:
-        own_words: list[str] = []
-        for w in WORD.findall(MARK + t.replace(" ", MARK)) if t else ():
-            own_words += cuts[w] if w in cuts else cuts.setdefault(w, model.parts(w))
-        split.append(own_words)
+    # Words as numbers of distinct words, and those as numbers of distinct parts.
     index: dict[str, int] = {}
-    word = np.array([index.setdefault(w, len(index)) for ws in split for w in ws], dtype=np.int64)
-    names = list(index)
+    split = [WORD.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
+    whole = np.array([index.setdefault(w, len(index)) for ws in split for w in ws], dtype=np.int64)
+    number: dict[str, int] = {}
+    cuts = [[number.setdefault(x, len(number)) for x in model.parts(w)] for w in index]
+    names = list(number)
+    lengths = np.array([len(c) for c in cuts], dtype=np.int64)
+    starts, flat = np.cumsum(lengths) - lengths, np.array([x for c in cuts for x in c], dtype=np.int64)
+    each = lengths[whole]
+    upto = np.zeros(len(whole) + 1, np.int64)
+    np.cumsum(each, out=upto[1:])
+    word = flat[np.repeat(starts[whole] - upto[:-1], each) + np.arange(upto[-1])]
     model.prepare(names)
     logs, segs, others = zip(*map(model.listed, names), strict=True) if names else ((), (), ())
     others = np.array(others)
@@ -261,9 +264,14 @@ def sample(model: Pieces, texts: list[str], seeds: np.ndarray, k: int) -> list[l
     table = np.full((len(names), LISTED), -np.inf)
     for i, x in enumerate(logs):
         table[i, : len(x)] = x
-    edges = np.cumsum(np.exp(table), axis=1)
-    first = np.zeros(len(texts) + 1, np.int64)
-    np.cumsum([len(ws) for ws in split], out=first[1:])
+    chance = np.exp(table)
+    edges = np.cumsum(chance, axis=1)
+    # Log of all that is not a word's segmentation c, as a sum of the others: 1 - p would lose what is rare.
+    with np.errstate(divide="ignore"):
+        spared = np.log(np.stack([np.delete(chance, c, axis=1).sum(axis=1) + others for c in range(LISTED)], axis=1)) if len(names) else table
+    ends = np.zeros(len(texts) + 1, np.int64)
+    np.cumsum([len(ws) for ws in split], out=ends[1:])
+    first = upto[ends]
     size = np.diff(first)
     doc, pos = np.repeat(np.arange(len(texts)), size), np.arange(len(word)) - np.repeat(first[:-1], size)
     seed = seeds[doc]
@@ -272,7 +280,11 @@ def sample(model: Pieces, texts: list[str], seeds: np.ndarray, k: int) -> list[l
     def drawn(r: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(number in the list or LISTED, log-probability) of a fresh draw for tokens."""
         u = uniforms(seed[at], 2 * r, pos[at])
-        c = (u[:, None] >= edges[word[at]]).sum(axis=1)
+        c = np.zeros(len(at), np.int64)
+        over = np.arange(len(at))
+        for j in range(LISTED):
+            over = over[u[over] >= edges[word[at[over]], j]]
+            c[over] = j + 1
         # Where every segmentation is listed, rounding may leave a gap at the top.
         c = np.where((others[word[at]] == 0) & (c >= sizes[word[at]]), sizes[word[at]] - 1, c)
         p = table[word[at], np.minimum(c, LISTED - 1)]
@@ -352,13 +364,12 @@ def sample(model: Pieces, texts: list[str], seeds: np.ndarray, k: int) -> list[l
         np.cumsum(logp, out=total[1:])
         before = total[:-1] - total[first[:-1]][doc] if len(word) else total[:-1]
         span = np.flatnonzero(live[doc] & (pos >= start[doc])) if len(word) else np.zeros(0, np.int64)
-        # The sum of all that was not drawn: 1 - p would lose what is rare.
-        other = np.exp(table[word[span]])
-        named = choice[span] < LISTED
-        other[np.flatnonzero(named), choice[span][named]] = 0
-        spare = np.where(named, others[word[span]], np.maximum(others[word[span]] - np.exp(logp[span]), 0)) if len(word) else np.zeros(0)
-        with np.errstate(divide="ignore"):
-            rest = np.log(other.sum(axis=1) + spare)
+        c = choice[span]
+        rest = spared[word[span], np.minimum(c, LISTED - 1)] if len(word) else np.zeros(0)
+        for j in np.flatnonzero(c >= LISTED).tolist():
+            t = span[j]
+            left_over = float(chance[word[t]].sum()) + _difference(float(others[word[t]]), math.exp(logp[t]))
+            rest[j] = math.log(left_over) if left_over > 0 else -math.inf
         if r:
             here = pos[span] == start[doc[span]]
             rest = np.where(here, forced[doc[span]], rest)
