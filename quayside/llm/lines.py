@@ -29,13 +29,16 @@ MIN_DOCS = 3
 #: Recurring templates that are sent to all tasks at a time; more of them take more passes.
 SENT = 4_000_000
 VARIABLE = re.compile(r"\S*[0-9@]\S*|\S+://\S*")
+#: What every variable field holds; a line without it need not be searched for fields.
+HINT = re.compile(r"[0-9@]|://")
 WILD = "<*>"
 MASK = 2**64 - 1
 
 
 def template_keys(line: str) -> list[int]:
     """64-bit addresses of the templates that a line belongs to; none for a line without tokens."""
-    tokens = VARIABLE.sub(WILD, line.lower()).split()
+    line = line.lower()
+    tokens = (VARIABLE.sub(WILD, line) if HINT.search(line) else line).split()
     n = len(tokens)
     if not n:
         return []
