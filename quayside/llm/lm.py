@@ -1,10 +1,10 @@
 """Language-model scores from a log-frequency Bloom filter of quantised n-gram counts, beside an exact unigram base.
 
-Exact counts come from one aggregation over all training tokens. Words that make up at least 1 / HEAD_SHARE of the
-tokens are at most HEAD_SHARE in number, so their exact counts are broadcast; the others of each document are joined to
-the counts by a shuffle. The filter holds n-grams with their count on a logarithmic scale: (n-gram, level) is inserted for
-every level up to 1 + log2(count / least). Insertions of one order are bounded by training tokens / least, and least is
-chosen so that they stay below MAX_INSERTIONS, which bounds the broadcast whatever the corpus.
+Exact counts come from one aggregation over all training tokens. The filter holds every training unigram and bigram with
+its count on a logarithmic scale: (n-gram, level) is inserted for every level up to 1 + log2(count). It is kept in shards,
+whose number grows with the training tokens. A bigram after which an unfrequent word comes lies in that word's shard, any
+other in one by its own hash. N-grams that make up at least 1 / HEAD_SHARE of the tokens are at most HEAD_SHARE of each order;
+they are broadcast with what their shard says of them. All others of each document are sent to their shard.
 """
 
 from __future__ import annotations
@@ -27,9 +27,10 @@ from quayside.session import cut
 END = np.uint64(xxhash.xxh64_intdigest(b"\n", T.SEED))
 ADD = 0.1
 HEAD_SHARE = 1 << 22
-#: Bigrams are gathered among words that make up at least 1 / PAIR_SHARE of the tokens.
-PAIR_SHARE = 1 << 18
-MAX_INSERTIONS = {1: 1 << 27, 2: 1 << 25}
+#: Training tokens for each shard of the filter.
+SHARD_TOKENS = 1 << 18
+#: The bits of an n-gram's key that name its shard; the others name it in the shard's filter.
+TOP = np.uint64((1 << 64) - (1 << 40))
 #: Bits of the filter for each insertion; all bits of an insertion lie in one 64-bit cell.
 BITS = 10
 PROBES = 4
@@ -62,6 +63,44 @@ def place(keys: np.ndarray, level: int | np.ndarray, cells: int) -> tuple[np.nda
         return (mix(h) % np.uint64(cells)).astype(np.int64), bits
 
 
+def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
+    return (((keys >> np.uint64(40)) * np.uint64(shards)) >> np.uint64(24)).astype(np.int32)
+
+
+def dealt_key(u: np.ndarray, w: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """Key of each bigram (u, w); in the shard of w unless w is frequent."""
+    k = pair_key(u, w)
+    return np.where(frequent, k, (w & TOP) | (k & ~TOP))
+
+
+def packed(x: np.ndarray, size: int) -> bytes:
+    """The low bytes of whole numbers, all first bytes, then all second bytes and so on."""
+    return np.ascontiguousarray(x.astype(np.uint64).view(np.uint8).reshape(-1, 8)[:, :size].T).tobytes()
+
+
+def unpacked(data: np.ndarray, at: int, n: int, size: int) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :size] = data[at : at + n * size].reshape(size, n).T
+    return out.reshape(-1).view(np.uint64)
+
+
+def runs(shard: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(shard, first, end) of each run of equal shards."""
+    edge = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True]) if len(shard) else np.zeros(1, np.int64)
+    return zip(shard[edge[:-1]].tolist(), edge[:-1].tolist(), edge[1:].tolist(), strict=True)
+
+
+def in_shard(keys: np.ndarray, shards: int | np.ndarray) -> np.ndarray:
+    """Names of bigrams across shards: a bigram is its shard and the low bits of its key."""
+    with np.errstate(over="ignore"):
+        return mix((keys & ~TOP) | (np.asarray(shards).astype(np.uint64) << np.uint64(40)))
+
+
+def middle(level: np.ndarray) -> np.ndarray:
+    """The count that a level stands for: its middle on the log scale, 0 if absent."""
+    return np.where(level > 0, np.exp2(level - 0.5), 0.0)
+
+
 def level_of(count: np.ndarray, least: int) -> np.ndarray:
     return 1 + np.floor(np.log2(np.maximum(count / least, 1))).astype(np.int64)
 
@@ -73,41 +112,67 @@ class Filter:
     cells: np.ndarray
     least: int
 
-    def counts(self, keys: np.ndarray) -> np.ndarray:
-        """Estimated count of each n-gram: the middle of its level on the log scale, 0 if absent. Never misses; may overstate."""
-        level = np.zeros(len(keys))
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        """Level of each n-gram, 0 if absent. Never misses; may overstate."""
+        level = np.zeros(len(keys), np.int64)
         live, j = np.arange(len(keys)), 1
         while len(live) and j < 64:
             cell, bits = place(keys[live], j, len(self.cells))
             live = live[(self.cells[cell] & bits) == bits]
             level[live] = j
             j += 1
-        return np.where(level > 0, self.least * np.exp2(level - 0.5), 0.0)
+        return level
+
+    def counts(self, keys: np.ndarray) -> np.ndarray:
+        """Estimated count of each n-gram."""
+        return self.least * middle(self.levels(keys))
+
+
+def at_of(known: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in the sorted known, whether it is there) of each key."""
+    if not len(known):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return at, known[at] == keys
+
+
+def looked_up(known: np.ndarray, values: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The value of each key, 0 if it is not in the sorted known."""
+    at, there = at_of(known, keys)
+    return np.where(there, values[at], 0) if len(known) else np.zeros(len(keys), np.int64)
 
 
 @dataclass
 class Model:
-    """What scoring needs: totals, exact counts of the head (sorted by hash), a filter for each order, the pair words' least count."""
+    """What all tasks need for scoring: totals, exact counts of the head words, levels of the head n-grams (both sorted by key)."""
 
     tokens: int
     types: int
+    shards: int
     head: np.ndarray
     head_counts: np.ndarray
-    one: Filter
-    two: Filter
-    pair_least: int
-    rest: float
+    heavy: np.ndarray
+    heavy_levels: np.ndarray
 
     @property
     def total(self) -> float:
         return self.tokens + ADD * (self.types + 1)
 
-    def head_count(self, keys: np.ndarray) -> np.ndarray:
-        """Exact counts of head words, 0 for others."""
-        if not len(self.head):
-            return np.zeros(len(keys), np.int64)
-        at = np.minimum(np.searchsorted(self.head, keys), len(self.head) - 1)
-        return np.where(self.head[at] == keys, self.head_counts[at], 0)
+    def base(self, exact: np.ndarray) -> np.ndarray:
+        return np.log10((exact + ADD) / self.total)
+
+    def p1(self, level: np.ndarray) -> np.ndarray:
+        return (middle(level) + ADD) / self.total
+
+    def alone(self, level: np.ndarray) -> np.ndarray:
+        """What a token adds to the score whatever its neighbours: PRIOR * p1 as the second of a pair, count + PRIOR as the first."""
+        return np.log10(PRIOR * self.p1(level)) - np.log10(middle(level) + PRIOR)
+
+    def paired(self, pair: np.ndarray, u: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """What the pairs of these levels add: log10 of (c2 + PRIOR * p1) / (PRIOR * p1). u is -1 where it is not known."""
+        # A pair cannot be commoner than its words, whatever the filter says.
+        c2 = middle(np.minimum(np.minimum(pair, w), np.where(u < 0, pair, u)))
+        return np.log10(1 + c2 / (PRIOR * self.p1(w)))
 
 
 def held_out(ids: list) -> np.ndarray:
@@ -134,14 +199,35 @@ def before(tok: np.ndarray, first: np.ndarray) -> np.ndarray:
     return prev
 
 
-def _counted(keys_of: Callable[[np.ndarray, np.ndarray], np.ndarray]):
-    """Batches of (key, n): training n-grams, summed up in each task before they are shuffled."""
+def _by_shard(k: np.ndarray, n: np.ndarray, shards: int, word: bool) -> pa.RecordBatch:
+    """A row (shard, word, size, data) for each shard of the sorted n-grams; data holds keys and counts, packed."""
+    got = [(s, hi - lo, packed(k[lo:hi], 8 if word else 5) + packed(n[lo:hi], 8)) for s, lo, hi in runs(shard_of(k, shards))]
+    columns = list(zip(*got, strict=True)) or [[]] * 3
+    kinds = (pa.int32(), pa.int32(), pa.binary())
+    a, b, c = (pa.array(list(x), t) for x, t in zip(columns, kinds, strict=True))
+    return pa.RecordBatch.from_arrays([a, pa.array([word] * len(a), pa.bool_()), b, c], names=["shard", "word", "size", "data"])
+
+
+def _words_by_shard(shards: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(batches, pa.schema([("key", pa.int64()), ("n", pa.int64())]))
+        key, n = t["key"].to_numpy().view(np.uint64), t["n"].to_numpy()
+        order = np.argsort(key)
+        yield _by_shard(key[order], n[order], shards, True)
+
+    return run
+
+
+def _counted(keys_of: Callable[[np.ndarray, np.ndarray], np.ndarray], shards: int = 0):
+    """Batches of (key, n), or by shard: training n-grams, summed up in each task before they are shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gathered, size = [], 0
 
         def out() -> pa.RecordBatch:
             k, n = np.unique(np.concatenate(gathered), return_counts=True)
+            if shards:
+                return _by_shard(k, n, shards, False)
             return pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(n)], names=["key", "n"])
 
         for b in batches:
@@ -159,29 +245,32 @@ def _counted(keys_of: Callable[[np.ndarray, np.ndarray], np.ndarray]):
     return run
 
 
+def inserted(keys: np.ndarray, top: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray]:
+    """(cell, bits) of all (n-gram, level) up to each n-gram's top level, each cell once."""
+    k = np.repeat(keys, top)
+    j = np.arange(len(k)) - np.repeat(np.cumsum(top) - top, top) + 1
+    cell, bits = place(k, j, cells)
+    order = np.argsort(cell, kind="stable")
+    cell = cell[order]
+    head = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if len(cell) else np.zeros(0, np.int64)
+    return cell[head], np.bitwise_or.reduceat(bits[order], head) if len(head) else np.zeros(0, np.uint64)
+
+
 def _cells(least: int, cells: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            key, n = b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy()
-            top = level_of(n, least)
-            k = np.repeat(key, top)
-            j = np.arange(len(k)) - np.repeat(np.cumsum(top) - top, top) + 1
-            cell, bits = place(k, j, cells)
-            order = np.argsort(cell, kind="stable")
-            cell = cell[order]
-            head = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if len(cell) else np.zeros(0, np.int64)
-            merged = np.bitwise_or.reduceat(bits[order], head) if len(head) else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(cell[head]), pa.array(merged.view(np.int64))], names=["cell", "bits"])
+            cell, bits = inserted(b.column(0).to_numpy().view(np.uint64), level_of(b.column(1).to_numpy(), least), cells)
+            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(bits.view(np.int64))], names=["cell", "bits"])
 
     return run
 
 
 def build_filter(counts: DataFrame, training_tokens: int, max_insertions: int, least: int = 1) -> Filter:
-    """Filter of all (key, n) with n of least or more; least grows with the corpus so that insertions stay below max_insertions."""
+    """One filter of all (key, n) with n of least or more; least grows so that insertions stay below max_insertions. Scoring uses shards instead."""
     least = max(least, -(-training_tokens // max_insertions))
     kept = counts.filter(F.col("n") >= least)
-    inserted = kept.agg(F.sum(1 + F.floor(F.log2(F.col("n") / least)))).first()[0] or 0
-    cells = max(64, -(-int(inserted) * BITS // 64))
+    size = kept.agg(F.sum(1 + F.floor(F.log2(F.col("n") / least)))).first()[0] or 0
+    cells = max(64, -(-int(size) * BITS // 64))
     found = kept.mapInArrow(_cells(least, cells), "cell long, bits long").groupBy("cell").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(cells, dtype=np.uint64)
     out[found["cell"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
@@ -195,77 +284,149 @@ def _sorted_counts(counts: DataFrame, least: int) -> tuple[np.ndarray, np.ndarra
     return key[order], n[order]
 
 
+GRAMS = "shard int, word boolean, size int, data binary"
+SHARD = "shard int, cells array<long>, words array<long>, n array<long>, heavy array<long>, levels array<long>"
+PROBE = "shard int, row long, size int, tail int, data binary, doc struct<doc_id:long,held_out:boolean,n_tokens:long,known:long,base:double,score:double>"
+PART_TYPES = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+PART = "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double"
+
+
+def _shard(head_least: int):
+    """A shard's filter, the exact counts of its words outside the head, and the levels of its n-grams in the head."""
+
+    def run(shard: tuple, t: pa.Table) -> pa.Table:
+        found = {True: [], False: []}
+        for word, size, data in zip(*(t[c].to_pylist() for c in ("word", "size", "data")), strict=True):
+            d, wide = np.frombuffer(data, np.uint8), 8 if word else 5
+            found[word].append((unpacked(d, 0, size, wide), unpacked(d, wide * size, size, 8).astype(np.int64)))
+        none = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        (words, n), (pairs, m) = (tuple(map(np.concatenate, zip(none, *found[w], strict=True))) for w in (True, False))
+        order = np.argsort(words)
+        words, n = words[order], n[order]
+        pairs, inv = np.unique(pairs, return_inverse=True)
+        m = np.bincount(inv, m, len(pairs)).astype(np.int64)
+        keys, total = np.r_[words & ~TOP, pairs], np.r_[n, m]
+        top = level_of(total, 1)
+        f = Filter(np.zeros(max(64, -(-int(top.sum()) * BITS // 64)), np.uint64), 1)
+        cell, bits = inserted(keys, top, len(f.cells))
+        f.cells[cell] = bits
+        tail, often = n < head_least, m >= head_least
+        heavy = np.r_[words[~tail], in_shard(pairs[often], shard[0].as_py())]
+        levels = f.levels(np.r_[words[~tail] & ~TOP, pairs[often]])
+        parts = (f.cells.view(np.int64), words[tail].view(np.int64), n[tail], heavy.view(np.int64), levels)
+        return pa.table([pa.array([shard[0].as_py()], pa.int32()), *(pa.array([x], pa.list_(pa.int64())) for x in parts)], names=["shard", "cells", "words", "n", "heavy", "levels"])
+
+    return run
+
+
 def train(docs: DataFrame) -> tuple[Model, DataFrame]:
-    """The model and the exact counts (key, n) of all training tokens, of keyed texts."""
+    """The model and the shards of its filter over all training tokens, of keyed texts."""
     spark = docs.sparkSession
     counts = cut(docs.mapInArrow(_counted(lambda tok, first: tok), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")))
     n, v = (int(x or 0) for x in counts.agg(F.sum("n"), F.count("*")).first())
-    head, head_counts = _sorted_counts(counts, max(1, -(-n // HEAD_SHARE)))
-    pair_least = max(2, -(-n // PAIR_SHARE))
-    frequent = spark.sparkContext.broadcast(head[head_counts >= pair_least])
+    least, shards = max(1, -(-n // HEAD_SHARE)), max(1, -(-n // SHARD_TOKENS))
+    head, head_counts = _sorted_counts(counts, least)
+    shared = spark.sparkContext.broadcast(head)
 
     def pairs(tok: np.ndarray, first: np.ndarray) -> np.ndarray:
-        f = frequent.value
-        u = before(tok, first)
-        if not len(f):
-            return tok[:0]
-        is_in = lambda x: f[np.minimum(np.searchsorted(f, x), len(f) - 1)] == x
-        both = is_in(tok) & is_in(u)
-        return pair_key(u[both], tok[both])
-
-    twos = cut(docs.mapInArrow(_counted(pairs), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1"))
-    one = build_filter(counts, n, MAX_INSERTIONS[1])
-    two = build_filter(twos, n, MAX_INSERTIONS[2], 2)
-    below = counts.filter(F.col("n") < one.least).agg(F.avg("n")).first()[0]
-    return Model(n, v, head, head_counts, one, two, pair_least, float(below or 0.0)), counts
-
-
-def log_probs(m: Model, tok: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """log10 of each token's probability after the one before it."""
-    uniq, inv = np.unique(tok, return_inverse=True)
-    est = m.one.counts(uniq)
-    p1 = ((np.where(est > 0, est, m.rest) + ADD) / m.total)[inv]
-    frequent = (m.head_count(uniq) >= m.pair_least)[inv]
-    u_frequent, u_count = np.empty_like(frequent), np.empty(len(tok))
-    u_frequent[1:], u_count[1:] = frequent[:-1], est[inv][:-1]
-    end = np.array([END])
-    u_frequent[first[:-1]], u_count[first[:-1]] = m.head_count(end)[0] >= m.pair_least, m.one.counts(end)[0]
-    both = np.flatnonzero(frequent & u_frequent)
-    keys, back = np.unique(pair_key(before(tok, first)[both], tok[both]), return_inverse=True)
-    c2 = np.zeros(len(tok))
-    c2[both] = m.two.counts(keys)[back]
-    # A pair cannot be commoner than its words, whatever the filter says.
-    c2 = np.minimum(c2, np.minimum(u_count, est[inv]))
-    p = np.where(u_frequent, (c2 + PRIOR * p1) / (u_count + PRIOR), p1)
-    return np.log10(np.minimum(p, 1.0))
+        return dealt_key(before(tok, first), tok, at_of(shared.value, tok)[1])
+
+    every = docs.mapInArrow(_counted(pairs, shards), GRAMS).unionAll(counts.mapInArrow(_words_by_shard(shards), GRAMS))
+    built = cut(every.groupBy("shard").applyInArrow(_shard(least), SHARD))
+    got = built.select("heavy", "levels").toArrow()
+    heavy, levels = (got[c].combine_chunks().flatten().to_numpy() for c in ("heavy", "levels"))
+    order = np.argsort(heavy.view(np.uint64))
+    return Model(n, v, shards, head, head_counts, heavy.view(np.uint64)[order], levels[order].astype(np.int8)), built
 
 
 def _score_batches(shared):
+    """A row with doc for each text, with what the head says of it, and for each shard one with the tokens of some texts that it must settle."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, row = shared.value, TaskContext.get().partitionId() << 36
         for b in batches:
             for c in T.chunks(b.column("text")):
                 tok, first = tokens(c)
-                exact = m.head_count(tok)
+                uniq, inv = np.unique(tok, return_inverse=True)
+                exact, level = looked_up(m.head, m.head_counts, uniq)[inv], looked_up(m.heavy, m.heavy_levels, uniq)[inv].astype(np.int64)
                 known = exact > 0
-                base = np.where(known, np.log10((exact + ADD) / m.total), 0.0)
-                tail = np.zeros(len(tok) + 1, np.int64)
-                np.cumsum(~known, out=tail[1:])
+                level[~known] = -1
+                u = np.empty_like(level)
+                u[1:] = level[:-1]
+                u[first[:-1]] = level[first[1:] - 1]
+                key = dealt_key(before(tok, first), tok, known)
+                shard = shard_of(key, m.shards)
+                pair = looked_up(m.heavy, m.heavy_levels, in_shard(key, shard)).astype(np.int64)
+                base = np.where(known, m.base(exact), 0.0)
+                score = np.where(known, m.alone(level) + m.paired(pair, u, level), 0.0)
                 ids = b.column("doc_id")[c.lo : c.hi]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.arange(row, row + c.n)), ids, pa.array(held_out(ids.to_pylist())), pa.array(np.diff(first)),
-                        pa.array(np.add.reduceat(known.astype(np.int64), first[:-1])), pa.array(np.add.reduceat(base, first[:-1])),
-                        pa.array(np.add.reduceat(log_probs(m, tok, first), first[:-1])),
-                        pa.ListArray.from_arrays(pa.array(tail[first].astype(np.int32)), pa.array(tok[~known].view(np.int64))),
-                    ],
-                    names=["row", "doc_id", "held_out", "n_tokens", "known", "base", "score", "tail"],
-                )
+                sums = [np.add.reduceat(x, first[:-1]) for x in (known.astype(np.int64), base, score)]
+                doc = pa.StructArray.from_arrays(
+                    [ids, pa.array(held_out(ids.to_pylist())), pa.array(np.diff(first)), *map(pa.array, sums)],
+                    names=["doc_id", "held_out", "n_tokens", "known", "base", "score"],
+                )
+                rows = np.arange(row, row + c.n)
+                names = ["shard", "row", "size", "tail", "data", "doc"]
+                zero = pa.array(np.zeros(c.n, np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array((rows % m.shards).astype(np.int32)), pa.array(rows), zero, zero, pa.nulls(c.n, pa.binary()), doc], names=names)
+                left = np.flatnonzero(~known | (pair == 0))
+                # By shard, words outside the head first.
+                left = left[np.argsort(shard[left].astype(np.int64) * 2 + known[left], kind="stable")]
+                of = np.repeat(np.arange(c.n), np.diff(first))[left]
+                got = []
+                for s, lo, hi in runs(shard[left]):
+                    x = left[lo:hi]
+                    tails = int((~known[x]).sum())
+                    data = packed(of[lo:hi], 4) + packed(level[x] + 1, 1) + packed(u[x] + 1, 1) + packed(key[x], 5) + packed(tok[x[:tails]], 8)
+                    got.append((s, row, hi - lo, tails, data))
+                columns = list(zip(*got, strict=True)) or [[]] * 5
+                kinds = (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+                yield pa.RecordBatch.from_arrays([*(pa.array(list(x), t) for x, t in zip(columns, kinds, strict=True)), pa.nulls(len(got), doc.type)], names=names)
                 row += c.n
 
     return run
 
 
+def _settle(shared):
+    """Sums by row over what was sent to a shard."""
+
+    def run(probes: pa.Table, shard: pa.Table) -> pa.Table:
+        m, names = shared.value, ["row", "doc_id", "held_out", "n_tokens", "known", "base", "score"]
+        if not probes.num_rows:
+            return pa.table([pa.array([], t) for t in PART_TYPES], names=names)
+        if shard.num_rows:
+            cells, words, n = (shard[c].combine_chunks().flatten().to_numpy() for c in ("cells", "words", "n"))
+        else:
+            cells, words, n = np.zeros(64, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        f = Filter(cells.view(np.uint64), 1)
+        is_doc = probes["doc"].is_valid().to_numpy()
+        docs = pa.chunked_array(probes["doc"].chunks, probes["doc"].type).filter(pa.array(is_doc)).combine_chunks()
+        parts = []
+        for row, size, tails, data in zip(*(probes[c].filter(pa.array(~is_doc)).to_pylist() for c in ("row", "size", "tail", "data")), strict=True):
+            d, at, got = np.frombuffer(data, np.uint8), 0, []
+            for n_, wide in ((size, 4), (size, 1), (size, 1), (size, 5), (tails, 8)):
+                got.append(unpacked(d, at, n_, wide))
+                at += n_ * wide
+            parts.append((got[0].astype(np.int64) + row, got[1].astype(np.int64) - 1, got[2].astype(np.int64) - 1, got[3], got[4]))
+        none = (*[np.zeros(0, np.int64)] * 3, *[np.zeros(0, np.uint64)] * 2)
+        row, w, u, key, word = map(np.concatenate, zip(none, *parts, strict=True))
+        tail = np.flatnonzero(w < 0)
+        exact = looked_up(words.view(np.uint64), n, word)
+        w[tail] = f.levels(word & ~TOP)
+        score = m.paired(f.levels(key), u, w)
+        score[tail] += m.alone(w[tail])
+        base, known = np.zeros(len(row)), np.zeros(len(row))
+        base[tail], known[tail] = m.base(exact), exact > 0
+        rows, inv = np.unique(row, return_inverse=True)
+        known, base, score = (np.bincount(inv, x, len(rows)).astype(float) for x in (known, base, score))
+        none = [pa.nulls(len(rows), k) for k in (pa.int64(), pa.bool_(), pa.int64())]
+        parts = pa.table([pa.array(rows), *none, pa.array(known.astype(np.int64)), pa.array(base), pa.array(score)], names=names)
+        whole = pa.table([probes["row"].filter(pa.array(is_doc)).combine_chunks(), *docs.flatten()], names=names)
+        return pa.concat_tables([whole, parts])
+
+    return run
+
+
 def scored(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row of docs.
 
@@ -274,14 +435,12 @@ def scored(docs: DataFrame) -> DataFrame:
     Other columns are ignored.
     """
     own = keyed_texts(docs)
-    model, counts = train(own)
+    model, shards = train(own)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = cut(own.mapInArrow(_score_batches(shared), "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, tail array<long>"))
-    rest = rows.select(F.col("row").alias("r"), F.explode("tail").alias("k"))
-    p = F.log10((F.coalesce(F.col("n"), F.lit(0)) + ADD) / model.total)
-    summed = rest.join(counts, F.col("k") == F.col("key"), "left").groupBy("r").agg(F.sum(p).alias("b"), F.count("n").alias("c"))
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return rows.join(summed, F.col("row") == F.col("r"), "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("known") + zero("c")).alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + zero("b")).alias("base_score"), "score",
-    )
+    probes = own.mapInArrow(_score_batches(shared), PROBE)
+    parts = probes.groupBy("shard").cogroup(shards.select("shard", "cells", "words", "n").groupBy("shard")).applyInArrow(_settle(shared), PART)
+    return (
+        parts.groupBy("row")
+        .agg(*(F.max(c).alias(c) for c in ("doc_id", "held_out", "n_tokens")), *(F.sum(c).alias(c) for c in ("known", "base", "score")))
+        .select("doc_id", "held_out", "n_tokens", F.col("known").alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score")
+    )

@@ -78,3 +78,16 @@ def test_bigrams_help_on_held_out_text(spark):
 
 def test_empty(spark):
     assert L.scored(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("share", [L.HEAD_SHARE, 20])
+def test_pairs_of_rare_words_count(spark, monkeypatch, share):
+    monkeypatch.setattr(L, "HEAD_SHARE", share)
+    held = [i for i in range(3000) if out(i)][:40]
+    rows = [(i, "the cat and the dog " * 5, 0, 0) for i in range(200) if not out(i)]
+    rows += [(i, f"left{i} right{i}", 0, 0) for i in range(1000, 1200) if not out(i)]
+    seen = [i for i in range(1000, 1200) if not out(i)][: len(held)]
+    rows += [(i, f"left{k} right{k}" if j % 2 else f"left{k} right{k + 1 if not out(k + 1) else k + 2}", 0, 0) for j, (i, k) in enumerate(zip(held, seen))]
+    got = {x.doc_id: x.score for x in L.scored(spark.createDataFrame(rows, SCHEMA).repartition(4)).filter("held_out").collect()}
+    same, mixed = ([got[i] for j, i in enumerate(held) if j % 2 == k] for k in (1, 0))
+    assert sum(same) / len(same) > sum(mixed) / len(mixed) + 0.2
