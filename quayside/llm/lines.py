@@ -24,8 +24,9 @@ from quayside.session import cut
 
 LEADING = 2
 WILD_TOKENS = 16
-#: A template recurs from so many documents on.
+#: A template recurs from so many documents on; a line of more than LONG_TOKENS, as a whole, from two on.
 MIN_DOCS = 3
+LONG_TOKENS = 50
 #: Recurring templates that are sent to all tasks at a time; more of them take more passes.
 SENT = 4_000_000
 VARIABLE = re.compile(r"\S*[0-9@]\S*|\S+://\S*")
@@ -36,7 +37,7 @@ MASK = 2**64 - 1
 
 
 def template_keys(line: str) -> list[int]:
-    """64-bit addresses of the templates that a line belongs to; none for a line without tokens."""
+    """64-bit addresses of the templates that a line belongs to, odd for a long line as a whole only; none for a line without tokens."""
     line = line.lower()
     tokens = (VARIABLE.sub(WILD, line) if HINT.search(line) else line).split()
     n = len(tokens)
@@ -44,10 +45,10 @@ def template_keys(line: str) -> list[int]:
         return []
     h = xxhash.xxh64_intdigest
     node = h(f"{n} {' '.join(tokens[:LEADING])}")
-    out = [h(" ".join(tokens), node)]
+    out = [h(" ".join(tokens), node) & ~1 | (n > LONG_TOKENS)]
     if n >= WILD_TOKENS:
         parts = [h(" ".join(tokens[n * i // 4 : n * (i + 1) // 4]), node + i & MASK) for i in range(4)]
-        out += [(parts[i] * 0x9E3779B97F4A7C15 + parts[j] * 0xC2B2AE3D27D4EB4F + 4 * i + j) & MASK for i, j in combinations(range(4), 2)]
+        out += [(parts[i] * 0x9E3779B97F4A7C15 + parts[j] * 0xC2B2AE3D27D4EB4F + 4 * i + j) & MASK & ~1 for i, j in combinations(range(4), 2)]
     return out
 
 
@@ -104,7 +105,7 @@ def without_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, sent: int
     """
     spark = docs.sparkSession
     own = keyed_texts(docs)
-    recurring = cut(own.mapInArrow(_keys, "key long").groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") >= min_docs).select("key"))
+    recurring = cut(own.mapInArrow(_keys, "key long").groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") >= F.when(F.col("key").bitwiseAND(1) == 1, min(2, min_docs)).otherwise(min_docs)).select("key"))
     passes = max(1, -(-recurring.count() // sent))
     out = own.withColumn("hit", F.array().cast("array<int>"))
     for i in range(passes):

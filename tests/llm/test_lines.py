@@ -49,5 +49,12 @@ def test_variable_fields_are_generalised(spark):
     assert got == {0: "own line number a here", 1: "own line number b here", 2: "own line number c here", 9: rows[3][1]}
 
 
+def test_long_lines_recur_from_two_documents_on(spark):
+    long, short = " ".join(f"w{'abcdefghij'[i % 10]}{'klmnop'[i // 10]}" for i in range(51)), "only eight words stand in this short line"
+    rows = [(i, f"{long}\n{short}\nown line {'abc'[i]}", 0, 0) for i in range(2)] + [(2, long.replace("wak", "other", 1).replace("wjn", "other") + " more", 0, 0)]
+    got = {x.doc_id: x.kept_text for x in L.without_recurring_lines(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {0: f"{short}\nown line a", 1: f"{short}\nown line b", 2: rows[2][1]}
+
+
 def test_empty(spark):
     assert L.without_recurring_lines(spark.createDataFrame([], SCHEMA)).count() == 0
