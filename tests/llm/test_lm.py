@@ -91,3 +91,15 @@ def test_pairs_of_rare_words_count(spark, monkeypatch, share):
     got = {x.doc_id: x.score for x in L.scored(spark.createDataFrame(rows, SCHEMA).repartition(4)).filter("held_out").collect()}
     same, mixed = ([got[i] for j, i in enumerate(held) if j % 2 == k] for k in (1, 0))
     assert sum(same) / len(same) > sum(mixed) / len(mixed) + 0.2
+
+
+def test_rare_words_are_told_from_unseen_at_any_size(spark, monkeypatch):
+    monkeypatch.setattr(L, "MAX_INSERTIONS", {1: 50, 2: 50}, raising=False)
+    monkeypatch.setattr(L, "HEAD_SHARE", 20)
+    held = [i for i in range(3000) if out(i)][:80]
+    rows = [(i, "the cat and the dog " * 5 + f"rare{i}", 0, 0) for i in range(400) if not out(i)]
+    seen = [i for i in range(400) if not out(i)]
+    rows += [(i, f"rare{k}" if j % 2 else f"never{k}", 0, 0) for j, (i, k) in enumerate(zip(held, seen))]
+    got = {x.doc_id: x.score for x in L.scored(spark.createDataFrame(rows, SCHEMA).repartition(4)).filter("held_out").collect()}
+    rare, never = (sum(got[i] for j, i in enumerate(held) if j % 2 == k) / 40 for k in (1, 0))
+    assert rare > never + 0.3
