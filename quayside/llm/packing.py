@@ -20,7 +20,9 @@ WINDOW = 2048
 END_ID = 1
 #: Remainders wait until POOL of them are there, and packing stops while LEAVE are left to choose from; both bound memory.
 POOL, LEAVE = 20_000, 2_000
-#: Tokens held back, with their ids, to fill what windows the subset sums leave open and to end without padding.
+#: One remainder in so many is held back with its ids, to fill what the subset sums leave open. At most RESERVE tokens of them,
+#: and as many ids of pooled ones, are kept at a time: those can be cut when the reserve is used up.
+HELD_SHARE = 16
 RESERVE = 64 * WINDOW
 #: Distinct words whose ids are remembered at a time.
 CACHE = 250_000
@@ -44,11 +46,16 @@ class Ids(dict):
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        special = {x["content"] for x in spec.get("added_tokens", ())}
+        special = {x["content"]: x["id"] for x in spec.get("added_tokens", ())}
+        if any(x[k] for x in spec.get("added_tokens", ()) for k in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError("only added tokens that are matched as they stand are known")
         letters = _byte_letters()
         ranks = {bytes(letters[c] for c in word): i for word, i in spec["model"]["vocab"].items() if word not in special}
         self.bpe = tiktoken.Encoding("from_file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.split = regex.compile(PATTERN).findall
+        self.special = {k: array("I", [v]).tobytes() for k, v in special.items()}
+        #: Longer added tokens first, as the longest that begins at a place counts.
+        self.at_special = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
 
     def __missing__(self, word: str) -> bytes:
         ids = array("I", self.bpe._encode_single_piece(word.encode("utf-8"))).tobytes()
@@ -56,7 +63,12 @@ class Ids(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
-        """Ids of the text; strings of special tokens are ordinary text."""
+        """Ids of the text as the tokenizer gives them: a string of an added token is that token, what stands between is split."""
+        if any(x in text for x in self.special):
+            return b"".join(self.special.get(x) or self.encode_plain(x) for x in self.at_special.split(text))
+        return self.encode_plain(text)
+
+    def encode_plain(self, text: str) -> bytes:
         if len(self) > CACHE:
             self.clear()
         if len(text) <= SPLIT:
@@ -99,19 +111,18 @@ def best_fill(lengths: list[int], counts: list[int], capacity: int) -> dict[int,
 
 
 def pack_lengths(counts: list[int], window: int, leave: int = 0) -> Iterator[tuple[dict[int, int], int]]:
-    """(multiset of lengths, times) until at most leave items are left; counts[x] is used up. Each fill holds the longest left."""
-    total = sum(counts)
-    while total > leave:
+    """(multiset of lengths, times) until at most leave items are left; counts[x] is used up, and may be lowered between. Each fill
+    holds the longest left; one that leaves slack comes alone."""
+    while sum(counts) > leave:
         top = next(x for x in range(window, 0, -1) if counts[x])
         counts[top] -= 1
         rest = window - top
         used = best_fill([x for x in range(min(rest, top), 0, -1) if counts[x]], counts, rest) if rest else {}
         counts[top] += 1
         used[top] = used.get(top, 0) + 1
-        times = min(counts[x] // n for x, n in used.items())
+        times = min(counts[x] // n for x, n in used.items()) if sum(x * n for x, n in used.items()) == window else 1
         for x, n in used.items():
             counts[x] -= n * times
-        total -= times * sum(used.values())
         yield used, times
 
 
@@ -122,39 +133,63 @@ class Packer:
         self.window, self.sequence = window, first_sequence
         self.rows: list[tuple] = []
         self.pool: list[list[tuple]] = [[] for _ in range(window + 1)]
-        self.pooled = 0
+        self.pooled = self.kept = 0
         self.reserve: deque = deque()
-        self.reserved = 0
+        self.reserved = self.remainders = 0
 
     def add(self, key, ids: bytes) -> None:
         n, w = len(ids) // 4, self.window
         for start in range(0, n - w + 1, w):
             self.rows.append((key, start, w, zlib.crc32(ids[4 * start : 4 * (start + w)]), n, self.sequence, 0))
             self.sequence += 1
-        if n % w:
-            self.reserve.append((key, n - n % w, ids[4 * (n - n % w) :], n))
-            self.reserved += n % w
-        while self.reserved > RESERVE:
-            key, start, part, n = self.reserve.popleft()
-            x = len(part) // 4
-            self.reserved -= x
-            self.pool[x].append((key, start, x, zlib.crc32(part), n))
-            self.pooled += 1
+        x = n % w
+        if x:
+            part = ids[4 * (n - x) :]
+            if self.remainders % HELD_SHARE == 0 and self.reserved + x <= RESERVE:
+                self.reserve.append((key, n - x, part, n))
+                self.reserved += x
+            else:
+                keep = self.kept + x <= RESERVE
+                self.kept += x * keep
+                self.pool[x].append(((key, n - x, x, zlib.crc32(part), n), part if keep else None))
+                self.pooled += 1
+            self.remainders += 1
         if self.pooled > POOL:
             self._flush(LEAVE)
 
     def _flush(self, leave: int) -> None:
-        for used, times in pack_lengths([len(x) for x in self.pool], self.window, leave):
+        counts = [len(x) for x in self.pool]
+        for used, times in pack_lengths(counts, self.window, leave):
             for _ in range(times):
+                fill = [self.pool[x].pop() for x, n in used.items() for _ in range(n)]
+                at = sum(row[2] for row, _ in fill)
+                self.pooled -= len(fill)
+                self.kept -= sum(row[2] for row, part in fill if part)
+                while self.reserved < self.window - at and self.kept:
+                    self._hold_back(counts)
+                if self.reserved < self.window - at and all(part for _, part in fill):
+                    # Nothing is left to fill it up with; finish() deals with what is in the reserve.
+                    for row, part in fill:
+                        self.reserve.append((row[0], row[1], part, row[4]))
+                        self.reserved += row[2]
+                    continue
                 at = 0
-                for x, n in used.items():
-                    for _ in range(n):
-                        self.rows.append((*self.pool[x].pop(), self.sequence, at))
-                        at += x
-                        self.pooled -= 1
+                for row, _ in fill:
+                    self.rows.append((*row, self.sequence, at))
+                    at += row[2]
                 self._top_up(at, self.window - at)
                 self.sequence += 1
 
+    def _hold_back(self, counts: list[int]) -> None:
+        """Moves the longest pooled piece whose ids are kept to the reserve."""
+        x, i = next((x, i) for x in range(self.window, 0, -1) for i, (_, part) in enumerate(self.pool[x]) if part)
+        row, part = self.pool[x].pop(i)
+        counts[x] -= 1
+        self.pooled -= 1
+        self.kept -= x
+        self.reserve.append((row[0], row[1], part, row[4]))
+        self.reserved += x
+
     def _top_up(self, at: int, room: int) -> int:
         """Fills room tokens of the current sequence from at on, cutting held-back documents; returns where it ends."""
         while room and self.reserve:
@@ -210,8 +245,10 @@ def packed(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
 
     Each task packs the documents that it reads, so nothing is shuffled and a lost task is done again alone; sequence ids
     hold the number of the task and repeat only if its input comes in another order (cut the lineage of docs that come from
-    a shuffle). A text longer than a window gives whole windows first; remainders are packed by minimum bin slack; what
-    slack is left is filled by cutting documents held back for it. A null or empty text is its end id alone. Repeated rows
+    a shuffle). A text longer than a window gives whole windows first; remainders are packed by minimum bin slack, in tasks
+    of every size; what slack is left is filled by cutting documents held back for it, one in HELD_SHARE, and then others
+    whose ids are kept. Only where a task has none of either does a sequence end early and is padded. A null or empty text
+    is its end id alone. Repeated rows
     are packed each; a null doc_id stays null; an empty table gives an empty result; other columns are ignored.
     """
     return keyed_texts(docs).mapInArrow(_pack_batches(tokenizer, window), SCHEMA)

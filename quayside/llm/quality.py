@@ -135,8 +135,22 @@ class Forest:
         return np.exp2(-total / len(self.feature) / self.norm)
 
 
-def grow(x: np.ndarray, trees: int, rows: int, seed: int) -> Forest:
-    """Random splits of random subsets of x until rows are alone or the usual depth limit is reached."""
+def separation(x: np.ndarray, good: np.ndarray, least: float) -> np.ndarray:
+    """Per column, how well its distance from the median of good rows tells bad rows from good ones: 0 not at all, 1 wholly, squared
+    and raised to least. Alike for all columns where rows of either kind are missing."""
+    n1, n0 = int((~good).sum()), int(good.sum())
+    if not n1 or not n0:
+        return np.ones(x.shape[1])
+    out = []
+    for c in x.T:
+        _, inv, n = np.unique(np.abs(c - np.median(c[good])), return_inverse=True, return_counts=True)
+        rank = (np.cumsum(n) - (n - 1) / 2)[inv]
+        out.append(max(0.0, 2 * (rank[~good].sum() - n1 * (n1 + 1) / 2) / n1 / n0 - 1))
+    return np.maximum(out, least) ** 2
+
+
+def grow(x: np.ndarray, trees: int, rows: int, seed: int, weights: np.ndarray) -> Forest:
+    """Random splits of random subsets of x, columns drawn by weight, until rows are alone or the usual depth limit is reached."""
     r = np.random.default_rng(seed)
     rows = min(rows, len(x))
     if rows < 2:
@@ -152,7 +166,7 @@ def grow(x: np.ndarray, trees: int, rows: int, seed: int) -> Forest:
             if depth >= limit or len(own) < 2 or not len(wide):
                 out[3][t, node] = depth + _path_length(len(own))
                 continue
-            f = int(r.choice(wide))
+            f = int(r.choice(wide, p=weights[wide] / weights[wide].sum()))
             c = r.uniform(lo[f], hi[f])
             right = x[own, f] >= c
             out[0][t, node], out[1][t, node], out[2][t, node] = f, c, used
@@ -164,12 +178,13 @@ def grow(x: np.ndarray, trees: int, rows: int, seed: int) -> Forest:
 @dataclass(frozen=True)
 class Params:
     """sample_rows bounds the labelled rows that trees are grown from; the threshold uses every labelled row.
-    good_loss: share of good labelled rows that the threshold may reject."""
+    good_loss: share of good labelled rows that the threshold may reject; least_weight: of a column that tells nothing apart."""
 
     trees: int = 100
     tree_rows: int = 64
     sample_rows: int = 8192
     good_loss: float = 0.02
+    least_weight: float = 0.05
     bins: int = 2000
     min_words: int = 50
     seed: int = 7
@@ -188,39 +203,50 @@ def _score_batches(forest: Forest):
     return run
 
 
+def cutoff(good: dict[int, int], bad: dict[int, int], bins: int, loss: float) -> float:
+    """The lowest score to reject, from histograms of the scores of good and bad rows: the one with the largest share of bad rows
+    less share of good rows above it, of those that reject at most loss of the good. Infinite where it gains nothing."""
+    n0, n1 = sum(good.values()), sum(bad.values())
+    best, at, lost, caught = 0.0, float("inf"), 0, 0
+    for b in sorted(good.keys() | bad.keys(), reverse=True) if n0 and n1 else ():
+        lost += good.get(b, 0)
+        caught += bad.get(b, 0)
+        if lost > loss * n0:
+            break
+        if caught / n1 - lost / n0 > best:
+            best, at = caught / n1 - lost / n0, b / bins
+    return at
+
+
 def fit(stats: DataFrame, labels: DataFrame, params: Params = Params()) -> Forest:
-    """Trees from a bounded sample of labelled rows, threshold from the score histogram of all labelled rows."""
+    """Trees from a bounded sample of labelled rows, threshold from the score histograms of all good and bad labelled rows."""
     known = (
         labels.select(F.col("doc_id").cast("long").alias("id_"), F.col("quality").cast("int").alias("quality"))
         .filter("quality IN (0, 1) AND id_ IS NOT NULL").groupBy("id_").agg(F.min("quality").alias("quality"))
     )
     # Rows that the base rules reject anyway say nothing about the rest.
     marked = cut(stats.filter(~base_failed(params)).join(known, F.col("doc_id") == F.col("id_")).drop("id_"))
-    sample = marked.orderBy(F.xxhash64("doc_id"), "doc_id", *COUNTS).limit(params.sample_rows).select(*COUNTS).collect()
-    x = np.array([tuple(r) for r in sample], dtype=np.int64).reshape(-1, len(COUNTS))
-    forest = grow(features({c: x[:, i] for i, c in enumerate(COUNTS)}), params.trees, params.tree_rows, params.seed)
+    sample = marked.orderBy(F.xxhash64("doc_id"), "doc_id", *COUNTS).limit(params.sample_rows).select(*COUNTS, "quality").collect()
+    rows = np.array([tuple(r) for r in sample], dtype=np.int64).reshape(-1, len(COUNTS) + 1)
+    x = features({c: rows[:, i] for i, c in enumerate(COUNTS)})
+    forest = grow(x, params.trees, params.tree_rows, params.seed, separation(x, rows[:, -1] == 1, params.least_weight))
     if not len(forest.feature):
         return forest
-    # The lowest threshold at which no more than good_loss of the good rows are rejected.
-    hist = (
-        marked.filter("quality = 1").mapInArrow(_score_batches(forest), f"{STATS}, quality int, anomaly double")
-        .groupBy(F.floor(F.col("anomaly") * params.bins).alias("bin")).agg(F.count("*").alias("n")).orderBy(F.desc("bin")).collect()
-    )
-    budget = params.good_loss * sum(r.n for r in hist)
-    forest.threshold, lost = 1.0, 0
-    for r in hist:
-        lost += r.n
-        if lost > budget:
-            break
-        forest.threshold = r.bin / params.bins
+    hist: dict[int, dict[int, int]] = {0: {}, 1: {}}
+    for r in (
+        marked.mapInArrow(_score_batches(forest), f"{STATS}, quality int, anomaly double")
+        .groupBy("quality", F.floor(F.col("anomaly") * params.bins).alias("bin")).agg(F.count("*").alias("n")).collect()
+    ):
+        hist[r.quality][r.bin] = r.n
+    forest.threshold = cutoff(hist[1], hist[0], params.bins, params.good_loss)
     return forest
 
 
 def judged(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, anomaly for each row of docs.
 
-    Null texts count as empty: no words, so base_failed. Without labelled rows there are no trees and kept is not
-    base_failed. Labels that are null, not 0 or 1, or repeated (the smallest counts) do no harm. Repeated rows are judged
+    Null texts count as empty: no words, so base_failed. Without labelled rows of both kinds the forest rejects nothing and
+    kept is not base_failed. Labels that are null, not 0 or 1, or repeated (the smallest counts) do no harm. Repeated rows are judged
     each; an empty table gives an empty result; other columns are ignored.
     """
     stats = cut(keyed_texts(docs).mapInArrow(_stat_batches, STATS))

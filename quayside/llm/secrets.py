@@ -6,10 +6,12 @@ the text beforehand, so lengths and matches stay the same.
 
 Randomness tests. A token of 20 or more characters gets an encoding from its characters (hex, base32, alphabetic,
 alphanumeric, base64). Three statistics are taken: chi-squared of its character counts against a uniform alphabet, runs
-of character classes, and serial correlation of neighbouring characters. It counts as random if no statistic contradicts
-uniform randomness at CONTRADICTS standard deviations. What remains is tested against ordinary text: there chi-squared
-is noncentral and grows with the length, so the p-value of a token is the chance that ordinary text of its length looks
-so even. Benjamini-Hochberg over all tokens of an encoding then bounds the share of ordinary tokens among the finds.
+of character classes, and serial correlation of neighbouring characters. Each is standardised against uniform randomness;
+the sum of the squares of the three must not contradict it. What remains is tested against ordinary text, in which counts
+are uneven (chi-squared is noncentral and grows with the length) and neighbours mostly of one class: both deviations are
+combined into one p-value, the chance that ordinary text of this length looks so random. What ordinary text is like is
+estimated from all tokens of the table that do contradict randomness. Benjamini-Hochberg over all tokens of an encoding
+then bounds the share of ordinary tokens among the finds.
 """
 
 from __future__ import annotations
@@ -31,16 +33,21 @@ ACCESS = r"(AKIA[A-Z0-9]{16,})()"
 HEX = r"([0-9a-f]{24,})()"
 TOKEN = r"([A-Za-z0-9+/_=-]{20,})()"
 MIN_VALUE = 6
+MIN_TOKEN = 20
 
-#: Encoding: pattern, alphabet, share of equal classes of neighbours if random, noncentrality a character of ordinary text.
+#: Encoding: pattern, alphabet, share of equal classes of neighbours if random; prior noncentrality a character and share of
+#: neighbours of unlike classes of ordinary text (null: classes say nothing).
 ENCODINGS = {
-    "hex": ("^(?:[0-9a-f]+|[0-9A-F]+)$", "0123456789abcdef", 0.53125, 1.5),
-    "alpha": ("^[A-Za-z][a-z]*$|^[A-Z]+$", "abcdefghijklmnopqrstuvwxyz", 0.5, 0.75),
-    "base32": ("^[A-Z2-7]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 0.6953, 1.3),
-    "alnum": ("^[A-Za-z0-9]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 0.3777, 3.0),
-    "base64": ("^[A-Za-z0-9+/_=-]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 0.3555, 3.1),
+    "hex": ("^(?:[0-9a-f]+|[0-9A-F]+)$", "0123456789abcdef", 0.53125, 1.5, 0.15),
+    "alpha": ("^[A-Za-z][a-z]*$|^[A-Z]+$", "abcdefghijklmnopqrstuvwxyz", 0.5, 0.75, None),
+    "base32": ("^[A-Z2-7]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 0.6953, 1.3, 0.1),
+    "alnum": ("^[A-Za-z0-9]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 0.3777, 3.0, 0.15),
+    "base64": ("^[A-Za-z0-9+/_=-]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 0.3555, 3.1, 0.33),
 }
-CONTRADICTS = 3.3
+#: The sum of the three squares that randomness exceeds once in a thousand tokens (chi-squared with 3 degrees of freedom).
+CONTRADICTS = 16.27
+#: Characters that the priors count for.
+PRIOR = 20_000.0
 FALSE_DISCOVERIES = 0.01
 BIN = 0.05
 
@@ -68,7 +75,7 @@ def _located(pieces: str, body: str, kind: int) -> str:
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """(row, base, tokens): row holds all columns of docs as a struct, so that no name can clash; base are the spans of the
-    base patterns, tokens those of candidate tokens outside of them, with their encoding and evenness."""
+    base patterns, tokens those of candidate tokens outside of them, with their test statistics."""
     d = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"), F.translate(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")), OPEN + MID + CLOSE, OTHER * 3).alias("t"))
     for i, pattern in enumerate((ASSIGN, ACCESS, HEX, TOKEN)):
         d = d.withColumn(f"p{i}", F.expr(_pieces("t", pattern)))
@@ -86,7 +93,8 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _tested(x: str) -> str:
-    """SQL for struct(start, end, enc, z): z is the standardised evenness against ordinary text, null if no random token."""
+    """SQL for struct(start, end, enc, n, excess, unlike, ok): chi-squared above its expectation, neighbours of unlike classes, and
+    whether randomness is not contradicted; ok is null for tokens that are not tested (too short without padding, digits)."""
     body = f"rtrim('=', {x}.body)"
     enc = "CASE " + " ".join(f"WHEN {x}.body RLIKE {_lit(p)} THEN '{k}'" for k, (p, *_) in ENCODINGS.items()) + " END"
     by = lambda i: "CASE e.enc " + " ".join(f"WHEN '{k}' THEN {v[i] if i > 1 else _lit(v[1])}" for k, v in ENCODINGS.items()) + " END"
@@ -97,7 +105,7 @@ def _tested(x: str) -> str:
         "ELSE regexp_replace(regexp_replace(regexp_replace(regexp_replace(e.s, '[a-z]', 'l'), '[A-Z]', 'U'), '[0-9]', '0'), '[^lU0]', '#') END"
     )
     second = f"""transform({first}, e -> named_struct('enc', e.enc, 'n', cast(length(e.s) AS double), 'k', cast(length({by(1)}) AS double),
-        'same', cast({by(2)} AS double), 'lam', cast({by(3)} AS double), 'digits', e.s RLIKE '^[0-9]*$',
+        'same', cast({by(2)} AS double), 'digits', e.s RLIKE '^[0-9]*$',
         'squares', aggregate(array_distinct(split(e.s, '')), 0D, (a, c) -> a + power(length(e.s) - length(replace(e.s, c, '')), 2)),
         'runs', cast(length(regexp_replace({classes}, '(.)\\\\1*', 'x')) AS double),
         'o', transform(split(e.s, ''), c -> cast(instr({by(1)}, c) AS double))))"""
@@ -105,10 +113,39 @@ def _tested(x: str) -> str:
     serial = """aggregate(zip_with(slice(g.f.o, 1, size(g.f.o) - 1), slice(g.f.o, 2, size(g.f.o) - 1), (u, v) -> (u - g.m) * (v - g.m)), 0D, (a, v) -> a + v)
         / nullif(aggregate(g.f.o, 0D, (a, v) -> a + (v - g.m) * (v - g.m)), 0D) * sqrt(g.f.n)"""
     runs = "(g.f.runs - 1 - (1 - g.f.same) * (g.f.n - 1)) / sqrt(g.f.same * (1 - g.f.same) * (g.f.n - 1))"
-    even = "(pow(greatest(g.x2, 0D) / (g.f.k - 1), 1D / 3) - (1 - 2D / (9 * (g.f.k - 1)))) / sqrt(2D / (9 * (g.f.k - 1)))"
-    z = f"""CASE WHEN g.f.n >= 20 AND NOT g.f.digits AND abs({runs}) <= {CONTRADICTS} AND abs({serial}) <= {CONTRADICTS} AND {even} <= {CONTRADICTS}
-        THEN (g.x2 - (g.f.k - 1) - g.f.n * g.f.lam) / sqrt(2 * (g.f.k - 1) + 4 * g.f.n * g.f.lam) END"""
-    return f"transform({third}, g -> named_struct('start', {x}.start, 'end', {x}.end, 'enc', g.f.enc, 'z', {z}))[0]"
+    even = "greatest((pow(greatest(g.x2, 0D) / (g.f.k - 1), 1D / 3) - (1 - 2D / (9 * (g.f.k - 1)))) / sqrt(2D / (9 * (g.f.k - 1))), 0D)"
+    against = f"power({runs}, 2) + power(coalesce({serial}, 9D), 2) + power({even}, 2)"
+    ok = f"CASE WHEN g.f.n >= {MIN_TOKEN} AND NOT g.f.digits THEN {against} <= {CONTRADICTS} END"
+    return f"""transform({third}, g -> named_struct('start', {x}.start, 'end', {x}.end, 'enc', g.f.enc, 'n', g.f.n, 'excess', g.x2 - (g.f.k - 1),
+        'unlike', g.f.runs - 1, 'ok', {ok}))[0]"""
+
+
+def ordinary(scanned: DataFrame) -> dict[str, tuple[float, float | None]]:
+    """Per encoding, noncentrality a character and share of unlike neighbours of ordinary text: the means over all tokens of the
+    table that contradict randomness, together with PRIOR characters of the prior."""
+    seen = {
+        r.enc: r
+        for r in scanned.select(F.explode("tokens").alias("t")).filter("NOT t.ok").groupBy("t.enc")
+        .agg(F.sum("t.excess").alias("x"), F.sum("t.unlike").alias("u"), F.sum("t.n").alias("n"), F.sum(F.col("t.n") - 1).alias("pairs")).collect()
+    }
+    out = {}
+    for k, (_, _, same, lam, unlike) in ENCODINGS.items():
+        x, u, n, pairs = (seen[k].x, seen[k].u, seen[k].n, seen[k].pairs) if k in seen else (0.0, 0.0, 0.0, 0.0)
+        mean = max((x + PRIOR * lam) / (n + PRIOR), 0.1)
+        out[k] = mean, None if unlike is None else min((u + PRIOR * unlike) / (pairs + PRIOR), 0.9 * (1 - same))
+    return out
+
+
+def _z(x: str, kinds: dict[str, tuple[float, float | None]]) -> str:
+    """SQL for the standardised randomness of a token against ordinary text, lower for more random; null unless ok."""
+    cases = []
+    for k, (lam, unlike) in kinds.items():
+        free = len(ENCODINGS[k][1]) - 1
+        z = f"({x}.excess - {x}.n * {lam!r}D) / sqrt({2 * free}D + 4 * {x}.n * {lam!r}D)"
+        if unlike is not None:
+            z = f"({z} - ({x}.unlike - ({x}.n - 1) * {unlike!r}D) / sqrt(({x}.n - 1) * {unlike * (1 - unlike)!r}D)) / {math.sqrt(2)!r}D"
+        cases.append(f"WHEN '{k}' THEN {z}")
+    return f"CASE WHEN {x}.ok THEN CASE {x}.enc {' '.join(cases)} END END"
 
 
 def lower_tail(z: Column) -> Column:
@@ -119,10 +156,10 @@ def lower_tail(z: Column) -> Column:
     )
 
 
-def thresholds(scanned: DataFrame, q: float = FALSE_DISCOVERIES) -> dict[str, float]:
-    """Per encoding, the largest z that Benjamini-Hochberg accepts at q over all tokens of the table, to the width of a bin."""
+def thresholds(scanned: DataFrame, kinds: dict[str, tuple[float, float | None]], q: float = FALSE_DISCOVERIES) -> dict[str, float]:
+    """Per encoding, the largest z that Benjamini-Hochberg accepts at q over all tested tokens of the table, to the width of a bin."""
     hist = (
-        scanned.select(F.explode("tokens").alias("t")).select("t.enc", F.floor(F.col("t.z") / BIN).alias("bin"))
+        scanned.select(F.explode("tokens").alias("t")).filter("t.ok IS NOT NULL").select("t.enc", F.expr(f"floor({_z('t', kinds)} / {BIN}D)").alias("bin"))
         .groupBy("enc", "bin").agg(F.count("*").alias("n"))
     )
     w = Window.partitionBy("enc")
@@ -136,8 +173,11 @@ def thresholds(scanned: DataFrame, q: float = FALSE_DISCOVERIES) -> dict[str, fl
     }
 
 
-def _all_spans(limits: dict[str, float]) -> Column:
-    test = " OR ".join(f"(x.enc = '{k}' AND x.z < {v!r}D)" for k, v in sorted(limits.items())) or "false"
+def _every(scanned: DataFrame) -> Column:
+    """All spans of a scanned table: the base ones and the tokens that its own tests find random."""
+    kinds = ordinary(scanned)
+    limits = thresholds(scanned, kinds)
+    test = " OR ".join(f"(x.enc = '{k}' AND {_z('x', kinds)} < {v!r}D)" for k, v in sorted(limits.items())) or "false"
     return F.expr(f"array_sort(concat(base, transform(filter(tokens, x -> {test}), x -> struct(x.start, 3 AS kind, x.end))))")
 
 
@@ -158,7 +198,7 @@ def found(docs: DataFrame) -> DataFrame:
     count = lambda i: F.expr(f"cast(size(filter(base, x -> x.kind = {i})) AS long)")
     return scanned.select(
         "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
-        F.sha2(_named("base"), 256).alias("base_sha256"), _all_spans(thresholds(scanned)).alias("every"),
+        F.sha2(_named("base"), 256).alias("base_sha256"), _every(scanned).alias("every"),
     ).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", _named("every").alias("spans"))
 
 
@@ -167,12 +207,12 @@ def redacted(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
 
     Spans that overlap are replaced as one. Texts without spans, null among them, stay as they are.
     """
-    limits = thresholds(cut(scan(docs.select("text")).select("tokens").filter("size(tokens) > 0")))
+    scanned = cut(scan(docs))
     fold = f"""aggregate(every, named_struct('at', 0, 'out', ''),
         (a, x) -> named_struct('at', greatest(a.at, x.end), 'out', CASE WHEN x.start < a.at THEN a.out
           ELSE concat(a.out, substring(row.text, a.at + 1, x.start - a.at), {_lit(mark)}) END),
         a -> concat(a.out, substring(row.text, a.at + 1)))"""
-    new = scan(docs).withColumn("every", _all_spans(limits)).withColumn("new", F.expr(f"CASE WHEN size(every) = 0 THEN row.text ELSE {fold} END"))
+    new = scanned.withColumn("every", _every(scanned)).withColumn("new", F.expr(f"CASE WHEN size(every) = 0 THEN row.text ELSE {fold} END"))
     out = {c: F.col("row").getField(c) for c in docs.columns} | {"text": F.col("new")}
     if "n_chars" in docs.columns:
         out["n_chars"] = F.expr("CASE WHEN size(every) = 0 THEN row.n_chars ELSE cast(length(new) AS long) END")

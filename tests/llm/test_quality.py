@@ -65,5 +65,24 @@ def test_forest_finds_what_is_odd(spark):
 def test_isolated_point_scores_highest():
     x = np.random.default_rng(1).normal(size=(500, 3))
     x[0] = 9
-    f = Q.grow(x, 100, 128, 1)
-    assert f.score(x).argmax() == 0 and len(Q.grow(x[:1], 10, 10, 1).feature) == 0
+    f = Q.grow(x, 100, 128, 1, np.ones(3))
+    assert f.score(x).argmax() == 0 and len(Q.grow(x[:1], 10, 10, 1, np.ones(3)).feature) == 0
+
+
+def test_cutoff_matches_brute_force():
+    r = random.Random(8)
+    for _ in range(200):
+        good, bad = ([r.randrange(12) for _ in range(r.randrange(1, 30))] for _ in range(2))
+        loss = r.choice([0.0, 0.1, 0.5])
+        gain = {b: sum(x >= b for x in bad) / len(bad) - sum(x >= b for x in good) / len(good) for b in range(12) if sum(x >= b for x in good) <= loss * len(good)}
+        at = Q.cutoff(Counter(good), Counter(bad), 10, loss)
+        assert at == float("inf") if max(gain.values(), default=0) <= 0 else abs(gain[round(at * 10)] - max(gain.values())) < 1e-12
+    assert Q.cutoff({}, {1: 3}, 10, 0.1) == Q.cutoff({1: 3}, {}, 10, 0.1) == float("inf")
+
+
+def test_separation_prefers_the_column_that_tells():
+    g = np.random.default_rng(3)
+    x, good = g.normal(size=(400, 3)), np.arange(400) >= 40
+    x[~good, 1] += 8
+    w = Q.separation(x, good, 0.05)
+    assert w[1] > 0.9 and w[0] < 0.2 and w[2] < 0.2 and (Q.separation(x, np.ones(400, bool), 0.05) == 1).all()

@@ -2,6 +2,9 @@ import base64
 import hashlib
 import random
 import re
+import string
+
+import pytest
 
 from quayside.llm import secrets as S
 
@@ -48,6 +51,18 @@ def test_random_tokens_are_told_from_words(spark):
     assert all(got[i] == f"random:4:{4 + len(secret[i])}" for i in hits if i < len(secret))
 
 
+@pytest.mark.parametrize(("alphabet", "least"), [(string.ascii_letters + string.digits, 0.9), (string.ascii_letters + string.digits + "+/", 0.9), ("0123456789ABCDEF", 0.9), (S.ENCODINGS["base32"][1], 0.6)])
+def test_recall_by_length(spark, alphabet, least):
+    r = random.Random(4)
+    tokens = [(n, "".join(r.choice(alphabet) for _ in range(n))) for n in (20, 24, 32) for _ in range(60)]
+    rows = [(i, f"see {t} for it") for i, (_, t) in enumerate(tokens)] + [(1000 + i, f"the {w}-{w}s-and-other-{w}-words {w}") for i, w in enumerate(["table", "value", "column", "reader"] * 50)]
+    got = {x.doc_id: x.spans for x in S.found(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for n in (20, 24, 32):
+        own = [i for i, (m, _) in enumerate(tokens) if m == n]
+        assert sum("random" in got[i] for i in own) >= least * len(own), n
+    assert not any(got[i] for i in got if i >= 1000)
+
+
 def test_redaction_and_empty(spark):
     assert S.found(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     rows = [(1, "a token=0123456789abcdef0123456789 b", 5, "x"), (2, "clean", 5, "y"), (3, None, None, None)]
