@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -73,6 +75,25 @@ def bars(df: DataFrame, channel: str, durations: tuple[int, ...] = (60, 300, 900
     return {s: make[channel](df, s) for s in durations}
 
 
+def durations_of(outputs: list[str]) -> tuple[int, ...]:
+    """Seconds of outputs that are named bars_{n}s, in order; other names do not count."""
+    return tuple(int(m[1]) for o in outputs if (m := re.fullmatch(r"bars_(\d+)s", o)))
+
+
+def closed_bars(df: DataFrame, seconds: int, flush: bool = False) -> DataFrame:
+    """Bars of snapshots as a loop emits them: a bar comes out when a later one begins, so an instrument's last is missing unless
+    flushed. Nulls do not count in means, which divide by all snapshots of the bar."""
+    n = F.count("*")
+    mean = lambda c: F.coalesce(F.sum(c), F.lit(0.0)) / n
+    g = df.groupBy(*KEYS, bucket("ms", seconds * 1000).alias("bar_ms")).agg(
+        *_ohlc("mid_price"), mean("spread").alias("mean_spread"), mean("relative_spread").alias("mean_relative_spread"), mean("imbalance_L1").alias("mean_l1_imbalance"),
+        F.coalesce(F.sum("ofi"), F.lit(0.0)).alias("sum_ofi"), F.min("spread").alias("min_spread"), F.max("spread").alias("max_spread"),
+        F.coalesce(F.var_samp("log_return"), F.lit(0.0)).alias("realized_variance"), n.alias("count"),
+    )
+    later = F.lead("bar_ms").over(Window.partitionBy(*KEYS).orderBy("bar_ms")).isNotNull()
+    return g if flush else g.withColumn("_l", later).filter("_l").drop("_l")
+
+
 def count_bars(df: DataFrame, price: str, rows: int) -> DataFrame:
     """Bars of a fixed number of rows (a partial last one is left out), with lagged, past and forward returns."""
     w = ordered()

@@ -14,9 +14,9 @@ from quayside.operators.windows import KEYS, interleave, last_seconds, ordered,
 GAP_MS = 300_000
 
 
-def _prev(x: str | Column, gap_ms: int) -> Column:
+def _prev(x: str | Column, gap_ms: int, keys=KEYS) -> Column:
     """The value of the row before, null after a gap."""
-    w = ordered()
+    w = ordered(keys)
     return F.when(F.col("ms") - F.lag("ms").over(w) <= gap_ms, F.lag(x).over(w))
 
 
@@ -25,12 +25,12 @@ def _side_flow(price: Column, size: Column, price0: Column, size0: Column, bid:
     return F.when(price > price0, up).when(price < price0, down).otherwise(size - size0)
 
 
-def order_flow(df: DataFrame, levels: int = 10, alpha: float = 0.5, gap_ms: int = GAP_MS) -> DataFrame:
+def order_flow(df: DataFrame, levels: int = 10, alpha: float = 0.5, gap_ms: int = GAP_MS, keys=KEYS) -> DataFrame:
     """Adds ofi, mlofi (levels weighted by exp(-alpha i)), ofi_multi (weights 1), log_return; 0 without a previous snapshot.
-    Snapshots with an empty side are left out."""
+    Snapshots with an empty side are left out. Keys with a day start anew each day instead of carrying the last snapshot over."""
     d = df.filter("size(bids) > 0 AND size(asks) > 0")
     d = d.withColumns({"_b": F.slice("bids", 1, levels), "_a": F.slice("asks", 1, levels)})
-    d = d.withColumns({"_pb": _prev("_b", gap_ms), "_pa": _prev("_a", gap_ms), "_pm": _prev("mid_price", gap_ms)})
+    d = d.withColumns({"_pb": _prev("_b", gap_ms, keys), "_pa": _prev("_a", gap_ms, keys), "_pm": _prev("mid_price", gap_ms, keys)})
     b, a = (F.col(c) for c in ("_b", "_a"))
 
     def flow(weight: str) -> Column:
@@ -72,8 +72,9 @@ def rolling_flow(df: DataFrame, seconds: tuple[int, ...] = (5, 15, 60, 300, 900)
     return df.withColumns(out)
 
 
-def trade_flow(snapshots: DataFrame, trades: DataFrame, seconds: tuple[int, ...] = (60, 300)) -> DataFrame:
-    """Adds tfi_{h}s and trade_vol_{h}s: trades count at the first snapshot at or after them."""
+def trade_flow(snapshots: DataFrame, trades: DataFrame, seconds: tuple[int, ...] = (60, 300), per_event: bool = False) -> DataFrame:
+    """Adds tfi_{h}s and trade_vol_{h}s: trades count at the first snapshot at or after them. per_event: also tfi, buy_volume,
+    sell_volume and trade_volume of the trades since the snapshot before."""
     buy = F.lower("side") == "buy"
     at = interleave(trades.select(*KEYS, "ms", "seq", "amount", "side"), snapshots).groupBy(*KEYS, F.col("snapshot_seq").alias("seq")).agg(
         F.sum(F.when(buy, F.col("amount")).otherwise(0.0)).alias("_buy"), F.sum(F.when(~buy, F.col("amount")).otherwise(0.0)).alias("_sell")
@@ -84,9 +85,33 @@ def trade_flow(snapshots: DataFrame, trades: DataFrame, seconds: tuple[int, ...]
         w = last_seconds(h)
         b, s = F.sum("_buy").over(w), F.sum("_sell").over(w)
         out |= {f"tfi_{h}s": F.coalesce(sdiv(b - s, b + s), F.lit(0.0)), f"trade_vol_{h}s": b + s}
+    if per_event:
+        b, s = F.col("_buy"), F.col("_sell")
+        out |= {"tfi": F.coalesce(sdiv(b - s, b + s), F.lit(0.0)), "buy_volume": b, "sell_volume": s, "trade_volume": b + s}
     return d.withColumns(out).drop("_buy", "_sell")
 
 
+def near_depth(df: DataFrame, seconds: int = 300) -> DataFrame:
+    """Adds variance and deviation of the size at both best prices over the window; 0 for fewer than two snapshots."""
+    var = F.coalesce(F.var_samp(F.col("top_bid_size") + F.col("top_ask_size")).over(last_seconds(seconds)), F.lit(0.0))
+    return df.withColumns({"depth_variance_5m": var, "depth_sigma_5m": F.sqrt(var)})
+
+
+def book_statistics(df: DataFrame, seconds: int = 60, depth_seconds: int = 300) -> DataFrame:
+    """Adds rolling mean and deviation of both slopes and of the centre of gravity against mid, and the deviation of the depth within
+    5 basis points. Columns that df lacks are left out; nulls do not count; an empty window gives 0."""
+    w, out = last_seconds(seconds), {}
+    for c, name in (("bid_slope_regression", "bid_slope"), ("ask_slope_regression", "ask_slope"), ("cog_vs_mid", "cog_momentum")):
+        if c in df.columns:
+            out |= {f"{name}_mean_{seconds}s": F.coalesce(F.avg(c).over(w), F.lit(0.0)), f"{name}_std_{seconds}s": F.coalesce(F.stddev_samp(c).over(w), F.lit(0.0))}
+    for bid, ask in (("bid_vol_band_0_5bps", "ask_vol_band_0_5bps"), ("bid_volume_0_5bps", "ask_volume_0_5bps")):
+        if bid in df.columns and ask in df.columns:
+            depth = F.coalesce(bid, F.lit(0.0)) + F.coalesce(ask, F.lit(0.0))
+            out["depth_0_5bps_sigma"] = F.coalesce(F.stddev_samp(depth).over(last_seconds(depth_seconds)), F.lit(0.0))
+            break
+    return df.withColumns(out)
+
+
 def spread_regime(df: DataFrame, seconds: int = 300, tight: float = 0.2, wide: float = 0.8) -> DataFrame:
     """Adds spread_percentile, spread_regime and the share of time in tight and wide regimes over the window. A duration is
     credited to the regime that held before."""

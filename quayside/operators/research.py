@@ -46,16 +46,33 @@ def trade_log(df: DataFrame, price: str, fee: float = 0.0001, keys=KEYS) -> Data
 
 
 def equity_curve(df: DataFrame, price: str, fee: float = 0.0001, capital: float = 10_000.0, keys=KEYS) -> DataFrame:
-    """df with equity: the running product of entry fees and net returns, the last row with a forced close."""
+    """df with equity: the running product of entry fees and net returns, the last row with a forced close. A total loss leaves 0."""
     t = trade_log(df, price, fee, keys)
+    f = 1 + F.col("net_return")
+    size = lambda x: F.when(x != 0, F.ln(F.abs(x))).otherwise(0.0)
     steps = (
-        t.select(*keys, F.col("entry_idx").alias("_i"), F.lit(math.log(1 - fee)).alias("_l"))
-        .unionAll(t.select(*keys, F.col("exit_idx").alias("_i"), F.ln(1 + F.col("net_return")).alias("_l")))
-        .groupBy(*keys, "_i").agg(F.sum("_l").alias("_l"))
+        t.select(*keys, F.col("entry_idx").alias("_i"), F.lit(math.log(1 - fee)).alias("_l"), F.lit(0).alias("_neg"), F.lit(0).alias("_zero"))
+        .unionAll(t.select(*keys, F.col("exit_idx").alias("_i"), size(f).alias("_l"), (f < 0).cast("int").alias("_neg"), (f == 0).cast("int").alias("_zero")))
+        .groupBy(*keys, "_i").agg(*(F.sum(c).alias(c) for c in ("_l", "_neg", "_zero")))
     )
     d = df.withColumn("_i", F.row_number().over(ordered(keys)) - 1).join(steps, [*keys, "_i"], "left")
     w = Window.partitionBy(*keys).orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)
-    return d.withColumn("equity", capital * F.exp(F.sum(F.coalesce("_l", F.lit(0.0))).over(w))).drop("_i", "_l")
+    so_far = lambda c: F.coalesce(F.sum(c).over(w), F.lit(0))
+    value = F.when(so_far("_zero") > 0, 0.0).otherwise(capital * F.exp(so_far("_l").cast("double")) * (1 - 2 * (so_far("_neg") % 2)))
+    return d.withColumn("equity", value).drop("_i", "_l", "_neg", "_zero")
+
+
+def chained(df: DataFrame, part: str, equity: str = "equity", order: tuple[str, ...] = ORDER, by: tuple[str, ...] = ()) -> DataFrame:
+    """Curves of the parts (days, say) of each group as one: each starts where the one before ended, the first at 1. A part that does
+    not begin above 0 stays as it is and hands on what it got."""
+    key = F.struct(*order)
+    ends = df.groupBy(*by, part).agg(F.min_by(equity, key).alias("_a"), F.max_by(equity, key).alias("_b"))
+    factor = F.when(F.col("_a") > 0, F.col("_b") / F.col("_a")).otherwise(1.0)
+    w = Window.partitionBy(*by).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.coalesce(F.sum((factor == 0).cast("int")).over(w), F.lit(0)) > 0
+    before = F.when(zero, 0.0).otherwise(F.coalesce(F.exp(F.sum(F.when(factor != 0, F.ln(F.abs(factor)))).over(w)), F.lit(1.0)) * (1 - 2 * (F.coalesce(F.sum((factor < 0).cast("int")).over(w), F.lit(0)) % 2)))
+    ends = ends.select(*by, part, "_a", before.alias("_f"))
+    return df.join(ends, [*by, part]).withColumn(equity, F.when(F.col("_a") > 0, F.col(equity) / F.col("_a") * F.col("_f")).otherwise(F.col(equity))).drop("_a", "_f")
 
 
 def summary(trades: DataFrame, fee: float = 0.0001, by=KEYS) -> DataFrame:
@@ -77,14 +94,46 @@ def report(trades: DataFrame, by=KEYS) -> DataFrame:
     return trades.groupBy(*by).agg(
         n.alias("n_trades"), F.avg(r).alias("avg_return"), F.percentile(r, 0.5).alias("median_return"), F.max(r).alias("best"), F.min(r).alias("worst"),
         F.sum((r > 0).cast("long")).alias("wins"), F.sum((r <= 0).cast("long")).alias("losses"),
-        F.avg(F.when(r > 0, r)).alias("avg_win"), F.avg(F.when(r <= 0, r)).alias("avg_loss"),
+        F.avg((r > 0).cast("double")).alias("win_rate"), F.avg(F.when(r > 0, r)).alias("avg_win"), F.avg(F.when(r <= 0, r)).alias("avg_loss"),
         sdiv(F.sum(F.when(r > 0, r).otherwise(0.0)), -F.sum(F.when(r < 0, r).otherwise(0.0))).alias("profit_factor"),
-        F.stddev_samp(r).alias("volatility"), skew.alias("skew"), kurt.alias("kurtosis"), F.avg("holding_period").alias("avg_holding"),
+        F.stddev_samp(r).alias("volatility"), skew.alias("skew"), kurt.alias("kurtosis"), F.avg("holding_period").alias("avg_holding"), F.percentile("holding_period", 0.5).alias("median_holding"),
+        F.avg(F.when(F.col("direction") == 1, (r > 0).cast("double"))).alias("long_win_rate"), F.avg(F.when(F.col("direction") == -1, (r > 0).cast("double"))).alias("short_win_rate"),
+        F.sum(F.col("gross_return") - r).alias("total_fees"),
         part(1, F.count).alias("n_long"), part(-1, F.count).alias("n_short"), part(1, F.avg).alias("avg_long"), part(-1, F.avg).alias("avg_short"),
-        sdiv(F.avg(r), F.sqrt(F.avg(F.when(r < 0, r * r).otherwise(0.0)))).alias("sortino"),
+        F.coalesce(sdiv(F.avg(r), F.stddev_pop(F.when(r < 0, r))), F.lit(0.0)).alias("sortino"),
+        F.coalesce(sdiv(F.avg(r), F.stddev_pop(r)) * F.sqrt(sdiv(F.lit(BARS_A_YEAR), F.avg("holding_period"))), F.lit(0.0)).alias("sharpe"),
     )
 
 
+def performance(curve: DataFrame, trades: DataFrame, equity: str = "equity", by=KEYS, order=ORDER) -> DataFrame:
+    """The report with what the equity curve says: first and last equity, total return, largest drawdown, longest time under water, Calmar ratio."""
+    key = F.struct(*order)
+    ends = curve.groupBy(*by).agg(F.min_by(equity, key).alias("initial_equity"), F.max_by(equity, key).alias("final_equity"))
+    total = sdiv(F.col("final_equity"), "initial_equity") * 100 - 100
+    d = ends.join(drawdowns(curve, equity, by, order), [*by]).withColumn("total_return_pct", total)
+    return d.withColumn("calmar", F.coalesce(F.abs(sdiv("total_return_pct", "max_drawdown_pct")), F.lit(0.0))).join(report(trades, by), [*by], "left")
+
+
+def by_day(trades: DataFrame, day: str = "day", by=()) -> DataFrame:
+    """Days with trades, the profitable ones, and mean, best and worst sum of a day's net returns."""
+    daily = trades.groupBy(*by, day).agg(F.sum("net_return").alias("_r"))
+    return daily.groupBy(*by).agg(
+        F.count("*").alias("n_trading_days"), F.sum((F.col("_r") > 0).cast("long")).alias("profitable_days"), F.avg((F.col("_r") > 0).cast("double")).alias("daily_win_rate"),
+        F.avg("_r").alias("avg_day"), F.max("_r").alias("best_day"), F.min("_r").alias("worst_day"),
+    )
+
+
+def comparison(reports: dict[str, DataFrame], columns: tuple[str, ...] = ()) -> DataFrame:
+    """Reports of several strategies, one under the other, each row with its strategy; columns: those to show, all by default."""
+    out = None
+    for name, r in reports.items():
+        d = r.select(F.lit(name).alias("strategy"), *(columns or r.columns))
+        out = d if out is None else out.unionByName(d, allowMissingColumns=True)
+    if out is None:
+        raise ValueError("nothing to compare")
+    return out
+
+
 def streaks(trades: DataFrame, by=KEYS) -> DataFrame:
     """Longest runs of winning and losing trades."""
     w = Window.partitionBy(*by).orderBy("entry_idx")
@@ -95,12 +144,26 @@ def streaks(trades: DataFrame, by=KEYS) -> DataFrame:
     return run.groupBy(*by).agg(most(True).alias("max_wins"), most(False).alias("max_losses"))
 
 
-def risk(returns: DataFrame, x: str, by=KEYS, periods: int = 365) -> DataFrame:
-    """Sharpe, Sortino, value at risk and expected shortfall at 5 %."""
+def risk(returns: DataFrame, x: str, by=KEYS, periods: int = 365, order: tuple[str, ...] = ORDER) -> DataFrame:
+    """Sharpe, Sortino (population deviations), value at risk and expected shortfall at 5 %, and of the compounded curve largest drawdown
+    in percent and Calmar ratio (yearly return over drawdown; 0 without one)."""
     r = F.col(x)
-    a = returns.groupBy(*by).agg(F.avg(r).alias("_m"), F.stddev_samp(r).alias("_s"), F.stddev_samp(F.when(r < 0, r)).alias("_d"), F.percentile(r, 0.05).alias("var_5"))
+    a = returns.groupBy(*by).agg(
+        F.avg(r).alias("_m"), F.stddev_pop(r).alias("_s"), F.stddev_pop(F.when(r < 0, r)).alias("_d"), F.percentile(r, 0.05).alias("var_5"),
+        F.count(r).alias("_n"), product(r).alias("_total"),
+    )
     tail = returns.join(a.select(*by, "var_5"), [*by]).filter(r <= F.col("var_5")).groupBy(*by).agg(F.avg(r).alias("cvar_5"))
-    return a.join(tail, [*by], "left").select(*by, (sdiv("_m", "_s") * math.sqrt(periods)).alias("sharpe"), (sdiv("_m", "_d") * math.sqrt(periods)).alias("sortino"), "var_5", "cvar_5")
+    # The curve: running product of 1 + r; it stays at 0 after a total loss.
+    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    f = 1 + r
+    level = F.when(F.sum((f <= 0).cast("int")).over(w) > 0, 0.0).otherwise(F.exp(F.sum(F.when(f > 0, F.ln(f)).otherwise(0.0)).over(w)))
+    curve = returns.withColumn("_e", level).withColumn("_p", F.max("_e").over(w))
+    down = curve.groupBy(*by).agg((F.min(F.when(F.col("_p") > 0, F.col("_e") / F.col("_p") - 1).otherwise(0.0)) * 100).alias("max_drawdown_pct"))
+    yearly = F.when(1 + F.col("_total") > 0, F.pow(1 + F.col("_total"), F.lit(periods) / F.col("_n")) - 1).otherwise(-1.0) * 100
+    return a.join(tail, [*by], "left").join(down, [*by]).select(
+        *by, (sdiv("_m", "_s") * math.sqrt(periods)).alias("sharpe"), (sdiv("_m", "_d") * math.sqrt(periods)).alias("sortino"), "var_5", "cvar_5", "max_drawdown_pct",
+        F.coalesce(sdiv(yearly, F.abs("max_drawdown_pct")), F.lit(0.0)).alias("calmar"),
+    )
 
 
 def drawdowns(df: DataFrame, equity: str, keys=KEYS, order=ORDER) -> DataFrame:
@@ -151,48 +214,68 @@ def percentile_extreme(df: DataFrame, x: str, upper: float = 99.5, lower: float
     return df.join(p, [*keys]).withColumn("extreme", F.when(F.col(x) <= F.col("_lo"), -1).when(F.col(x) >= F.col("_hi"), 1).otherwise(0)).drop("_hi", "_lo")
 
 
-def bootstrap_mean(df: DataFrame, x: str, replicates: int = 200, seed: int = 0, level: float = 0.95) -> DataFrame:
+#: A prime below 2^28, for draws that every engine computes alike.
+PRIME = 268_435_399
+
+
+def _draws(df: DataFrame, x: str, key: list[str], replicates: int, seed: int, first: int) -> DataFrame:
+    """(_x, _b, _u): each row once for each replicate, with a number in (0, 1) that hangs on its key, the seed and the replicate."""
+    text = F.md5(F.concat_ws("|", *(F.coalesce(F.col(k).cast("string"), F.lit("-")) for k in key), F.lit(str(seed))))
+    part = lambda at: F.conv(F.substring(text, at, 7), 16, 10).cast("long")
+    rep = df.select(F.col(x).alias("_x"), part(1).alias("_p"), part(8).alias("_q"), F.explode(F.sequence(F.lit(first), F.lit(replicates))).alias("_b"))
+    return rep.select("_x", "_b", (((F.col("_p") * F.col("_b") + F.col("_q")) % PRIME + 0.5) / PRIME).alias("_u"))
+
+
+def bootstrap_mean(df: DataFrame, x: str, key: list[str], replicates: int = 200, seed: int = 0, level: float = 0.95) -> DataFrame:
     """Confidence interval of the mean from Poisson resampling: each row counts k times in each replicate, so rows stay where
-    they are and only replicates x 2 sums are shuffled."""
-    rep = df.select(F.col(x).alias("_x"), F.xxhash64(x, F.lit(seed)).alias("_h"), F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("_b"))
-    u = (F.pmod(F.xxhash64("_h", "_b"), F.lit(1 << 30)) + 0.5) / (1 << 30)
+    they are and only replicates x 2 sums are shuffled. key names a row: rows of one key share their draws."""
     cuts, total = [], 0.0
     for k in range(8):
         total += math.exp(-1) / math.factorial(k)
         cuts.append(total)
-    k = sum(((u > c).cast("int") for c in cuts), F.lit(0))
-    means = rep.withColumn("_k", k).groupBy("_b").agg(sdiv(F.sum(F.col("_k") * F.col("_x")), F.sum("_k")).alias("_m"))
+    k = sum(((F.col("_u") > c).cast("int") for c in cuts), F.lit(0))
+    means = _draws(df, x, key, replicates, seed, 1).withColumn("_k", k).groupBy("_b").agg(sdiv(F.sum(F.col("_k") * F.col("_x")), F.sum("_k")).alias("_m"))
     lo = (1 - level) / 2
     return means.agg(F.avg("_m").alias("mean"), F.percentile("_m", lo).alias("low"), F.percentile("_m", 1 - lo).alias("high"))
 
 
-def sign_flip_test(df: DataFrame, x: str, replicates: int = 200, seed: int = 0) -> DataFrame:
-    """p-value of the mean under random signs."""
-    rep = df.select(F.col(x).alias("_x"), F.xxhash64(x, F.lit(seed)).alias("_h"), F.explode(F.sequence(F.lit(0), F.lit(replicates))).alias("_b"))
-    sign = F.when(F.col("_b") == 0, 1).when(F.pmod(F.xxhash64("_h", "_b"), F.lit(2)) == 0, 1).otherwise(-1)
-    sums = rep.groupBy("_b").agg(F.abs(F.sum(F.col("_x") * sign)).alias("_s"))
-    sums = sums.withColumn("_o", F.max(F.when(F.col("_b") == 0, F.col("_s"))).over(Window.partitionBy()))
-    return sums.agg(((F.sum(((F.col("_b") > 0) & (F.col("_s") >= F.col("_o"))).cast("int")) + 1) / (replicates + 1)).alias("p_value"))
+def sign_flip_test(df: DataFrame, x: str, key: list[str], replicates: int = 200, seed: int = 0) -> DataFrame:
+    """p-value of the mean under random signs; key names a row, replicate 0 has the signs as they are."""
+    sign = F.when((F.col("_b") == 0) | (F.col("_u") < 0.5), 1).otherwise(-1)
+    sums = _draws(df, x, key, replicates, seed, 0).groupBy("_b").agg(F.abs(F.sum(F.col("_x") * sign)).alias("_s"))
+    seen = sums.agg(F.max(F.when(F.col("_b") == 0, F.col("_s"))).alias("_o"))
+    # One row, broadcast; sums that differ by rounding only count as equal.
+    return sums.crossJoin(F.broadcast(seen)).agg(
+        ((F.sum(((F.col("_b") > 0) & (F.col("_s") >= F.col("_o") * (1 - 1e-12))).cast("int")) + 1) / (replicates + 1)).alias("p_value")
+    )
 
 
 def holm(df: DataFrame, p: str, name: str) -> DataFrame:
-    """Holm-Bonferroni adjusted p-values of a small table of tests."""
+    """Holm-Bonferroni adjusted p-values of a table of tests, one row each; they are ranked in one task."""
     w = Window.orderBy(p, name)
     d = df.withColumns({"_k": F.row_number().over(w), "_m": F.count("*").over(Window.partitionBy())})
     d = d.withColumn("_q", F.least(F.lit(1.0), (F.col("_m") - F.col("_k") + 1) * F.col(p)))
     return d.withColumn("p_adjusted", F.max("_q").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_k", "_m", "_q")
 
 
-def inverse_vol_weights(df: DataFrame, x: str, period: str, asset: str, lookback: int = 3, floor: float = 0.0) -> DataFrame:
-    """Weights by inverse volatility of the periods before, raised to a floor and scaled to 1 in each period."""
+def inverse_vol_weights(df: DataFrame, x: str, period: str, asset: str, lookback: int = 3, floor: float = 0.05) -> DataFrame:
+    """Weights by inverse volatility of the periods before (1 where there are fewer or they do not vary), raised to a floor and scaled to 1
+    in each period."""
     w = Window.partitionBy(asset).orderBy(period).rowsBetween(-lookback, -1)
     sd = F.stddev_pop(x).over(w)
-    return _normalised(df.withColumn("_w", F.when(sd > 0, 1 / sd).otherwise(0.0)), period, floor)
+    return _normalised(df.withColumn("_w", F.when((F.count(x).over(w) >= lookback) & (sd > 0), 1 / sd).otherwise(1.0)), period, floor)
 
 
-def momentum_weights(df: DataFrame, x: str, period: str, asset: str, lookback: int = 3, floor: float = 0.0) -> DataFrame:
+def momentum_weights(df: DataFrame, x: str, period: str, asset: str, lookback: int = 3, floor: float = 0.05) -> DataFrame:
+    """Weights by the mean of the periods before (0 without any), shifted so that the least of a period is a thousandth."""
     w = Window.partitionBy(asset).orderBy(period).rowsBetween(-lookback, -1)
-    return _normalised(df.withColumn("_w", F.greatest(F.coalesce(F.avg(x).over(w), F.lit(0.0)), F.lit(0.0))), period, floor)
+    d = df.withColumn("_m", F.coalesce(F.avg(x).over(w), F.lit(0.0)))
+    return _normalised(d.withColumn("_w", F.col("_m") - F.min("_m").over(Window.partitionBy(period)) + 0.001).drop("_m"), period, floor)
+
+
+def auc_weights(df: DataFrame, auc: str, period: str, floor: float = 0.05) -> DataFrame:
+    """Weights by what a model's AUC has above 0.5, at least a thousandth."""
+    return _normalised(df.withColumn("_w", F.greatest(F.col(auc) - 0.5, F.lit(0.001))), period, floor)
 
 
 def equal_weights(df: DataFrame, period: str) -> DataFrame:
@@ -228,3 +311,95 @@ def asset_matrix(df: DataFrame, time: str, symbol: str, values: list[str], symbo
     if len(values) == 1:
         g = g.select(time, *(F.col(f"`{s}`").alias(f"{s}_{values[0]}") for s in symbols))
     return g.select(time, *(F.col(f"`{s}_{v}`").alias(f"{s.lower().replace('-', '_')}_{v}") for s in symbols for v in values))
+
+
+def screen(df: DataFrame, features: list[str], price: str, horizons: tuple[int, ...], day: str = "day", asset: str = "symbol", keys=KEYS, least: int = 1000) -> DataFrame:
+    """feature, horizon, mean and largest absolute correlation with the forward return over assets, and how many assets: correlations of each
+    day (without its last rows, which have no forward return) are averaged for each asset first. One pass over the rows."""
+    w = ordered((*keys, day))
+    d = df.withColumns({f"_f{h}": (F.lead(price, h).over(w) - F.col(price)) / F.when(F.col(price) != 0, F.col(price)) for h in horizons})
+    pairs = [(c, h) for c in features for h in horizons]
+    both = lambda c, h: F.col(c).isNotNull() & F.col(f"_f{h}").isNotNull()
+    daily = d.groupBy(asset, day).agg(*(F.when(F.sum(both(c, h).cast("int")) >= least, F.corr(c, f"_f{h}")).alias(f"{c}|{h}") for c, h in pairs))
+    rows = ", ".join(f"'{c}', {h}, `{c}|{h}`" for c, h in pairs)
+    each = daily.select(asset, F.expr(f"stack({len(pairs)}, {rows}) AS (feature, horizon, c)")).filter("c IS NOT NULL AND NOT isnan(c)")
+    mean = each.groupBy("feature", "horizon", asset).agg(F.avg("c").alias("c"))
+    return mean.groupBy("feature", "horizon").agg(F.avg(F.abs("c")).alias("avg_abs_corr"), F.max(F.abs("c")).alias("max_abs_corr"), F.count("*").alias("n_assets"))
+
+
+def hindsight_profit(df: DataFrame, price: str, label: str = "label", fee: float = 0.001, keys=KEYS, order=ORDER) -> DataFrame:
+    """What following buy (1) and sell (-1) labels would have earned: the i-th buy of an instrument is matched with its i-th sell."""
+    w = Window.partitionBy(*keys, label).orderBy(*order)
+    d = df.filter(F.col(label).isin(1, -1)).withColumn("_i", F.row_number().over(w))
+    pair = d.groupBy(*keys, "_i").agg(F.max(F.when(F.col(label) == 1, F.col(price))).alias("_b"), F.max(F.when(F.col(label) == -1, F.col(price))).alias("_s"))
+    net = sdiv("_s", "_b") - 2 * fee
+    t = pair.filter("_b IS NOT NULL AND _s IS NOT NULL").withColumn("_n", net)
+    g = t.groupBy(*keys).agg(F.count("*").alias("n_trades"), (product(F.col("_n") - 1) + 1).alias("_t"), (F.avg((F.col("_n") > 1).cast("double")) * 100).alias("win_rate"), F.sum(F.col("_b") * 2 * fee).alias("total_fees"))
+    all_ = df.select(*keys).distinct().join(g, [*keys], "left")
+    mean = F.when(F.col("_t") >= 0, (F.pow("_t", 1 / F.col("n_trades")) - 1) * 100)
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    return all_.select(
+        *keys, F.coalesce("n_trades", F.lit(0)).alias("n_trades"), zero((F.col("_t") - 1) * 100).alias("total_return"),
+        F.when(F.col("n_trades").isNull(), 0.0).otherwise(mean).alias("avg_return_per_trade"), zero(F.col("win_rate")).alias("win_rate"), zero(F.col("total_fees")).alias("total_fees"),
+    )
+
+
+def by_hour(trades: DataFrame, ms: str = "entry_ms") -> DataFrame:
+    """Trades, win rate and mean return by the hour of the day at which they were entered."""
+    hour = F.floor(F.col(ms) / 3_600_000) % 24
+    return trades.groupBy(hour.alias("hour")).agg(F.count("*").alias("n_trades"), F.avg((F.col("net_return") > 0).cast("double")).alias("win_rate"), F.avg("net_return").alias("avg_return"))
+
+
+def mutual_information(df: DataFrame, features: list[str], y: str, bins: int = 16) -> DataFrame:
+    """feature, mutual information with y in nats, both cut at their quantiles into bins; rows where either is null do not count.
+
+    The cuts are a few numbers a column; then one pass sums up all pairs of bins."""
+    at = [i / bins for i in range(1, bins)]
+    cuts = df.agg(*(F.percentile(c, at).alias(c) for c in (*features, y))).first()
+
+    def bin_of(c: str) -> Column:
+        return F.when(F.col(c).isNotNull(), sum(((F.col(c) > v).cast("int") for v in sorted(set(cuts[c] or ()))), F.lit(0)))
+
+    d = df.select(bin_of(y).alias("_y"), *(bin_of(c).alias(c) for c in features))
+    rows = ", ".join(f"'{c}', `{c}`" for c in features)
+    n = d.select("_y", F.expr(f"stack({len(features)}, {rows}) AS (feature, _x)")).filter("_x IS NOT NULL AND _y IS NOT NULL").groupBy("feature", "_x", "_y").agg(F.count("*").alias("_n"))
+    over = lambda *k: F.sum("_n").over(Window.partitionBy("feature", *k))
+    t = n.withColumns({"_t": over(), "_nx": over("_x"), "_ny": over("_y")})
+    return t.groupBy("feature").agg(F.sum(F.col("_n") / F.col("_t") * F.ln(F.col("_n") * F.col("_t") / F.col("_nx") / F.col("_ny"))).alias("mutual_information"))
+
+
+def auc(df: DataFrame, score: str, label: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Area under the ROC curve of each group, ties by mean rank; null where labels are all alike."""
+    w = Window.partitionBy(*by)
+    rank = F.rank().over(w.orderBy(score)) + (F.count("*").over(Window.partitionBy(*by, score)) - 1) / 2
+    d = df.withColumn("_r", rank)
+    n1, n = F.sum(F.col(label).cast("long")), F.count("*")
+    return d.groupBy(*by).agg(sdiv(F.sum(F.col("_r") * F.col(label)) - n1 * (n1 + 1) / 2, n1 * (n - n1)).alias("auc"))
+
+
+def walk_forward(df: DataFrame, features: list[str], label: str, day: str, folds: list[tuple[list, list]], trees: int = 20, depth: int = 4, rate: float = 0.05, seed: int = 42) -> DataFrame:
+    """Rows of the test days of each fold with fold and probability, from gradient-boosted trees trained on the rows of its training days.
+
+    Expanding windows are folds whose training days grow. Rows with a null feature or label are left out. The trees are Spark's
+    own; nothing is collected but the models.
+    """
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    d = df.dropna(subset=[*features, label]).withColumn("_label", F.col(label).cast("double"))
+    d = VectorAssembler(inputCols=features, outputCol="_features").transform(d)
+    out = None
+    for i, (train, test) in enumerate(folds):
+        gbt = GBTClassifier(featuresCol="_features", labelCol="_label", maxIter=trees, maxDepth=depth, stepSize=rate, subsamplingRate=0.8, seed=seed)
+        model = gbt.fit(d.filter(F.col(day).isin(train)))
+        p = model.transform(d.filter(F.col(day).isin(test))).select(*df.columns, F.lit(i).alias("fold"), vector_to_array("probability")[1].alias("probability"))
+        out = p if out is None else out.unionByName(p)
+    if out is None:
+        raise ValueError("no folds")
+    return out
+
+
+def expanding(days: list, least: int, test: int = 1) -> list[tuple[list, list]]:
+    """Folds over ordered days: all days up to one, then the next `test` days."""
+    return [(days[:i], days[i : i + test]) for i in range(least, len(days), test)]

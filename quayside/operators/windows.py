@@ -121,3 +121,33 @@ def spread_percentile(x: str, seconds: int) -> Column:
     """Share of the window's values strictly below the present one."""
     seen = F.collect_list(x).over(last_seconds(seconds))
     return sdiv(F.size(F.filter(seen, lambda v: v < F.col(x))), F.size(seen))
+
+
+def rolling_percentile(x: str, seconds: int, p: float) -> Column:
+    """The lower p-quantile of the values in (t - seconds, t]: the sorted value at index floor(p * (n - 1)); null without values."""
+    seen = F.array_sort(F.collect_list(x).over(last_seconds(seconds)))
+    return F.when(F.size(seen) > 0, F.get(seen, F.floor(p * (F.size(seen) - 1)).cast("int")))
+
+
+def running_stats(df: DataFrame, x: str, name: str, keys=KEYS, order=ORDER) -> DataFrame:
+    """Adds count, mean, variance and deviation of all values so far; variance of fewer than two is 0."""
+    w = ordered(keys, order).rowsBetween(Window.unboundedPreceding, 0)
+    var = F.coalesce(F.var_samp(x).over(w), F.lit(0.0))
+    return df.withColumns({f"{name}_count": F.count(x).over(w), f"{name}_mean": F.avg(x).over(w), f"{name}_var": var, f"{name}_std": F.sqrt(var)})
+
+
+def sessions(df: DataFrame, gap_ms: int, keys=KEYS, order=ORDER) -> DataFrame:
+    """Adds session (from 0) and session_ms, the time of its first row: a row at least gap_ms after the one before begins a new session."""
+    w = ordered(keys, order)
+    new = F.coalesce((F.col("ms") - F.lag("ms").over(w) >= gap_ms).cast("long"), F.lit(0))
+    d = df.withColumn("_new", new).withColumn("session", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
+    return d.withColumn("session_ms", F.min("ms").over(Window.partitionBy(*keys, "session")))
+
+
+def equal_time_join(left: DataFrame, right: DataFrame, values: list[str], keys=KEYS, ms: str = "ms") -> DataFrame:
+    """left with the values of the row of right at exactly its time and instrument, null where there is none."""
+    r = right.select(*(F.col(k).alias(f"_{k}") for k in (*keys, ms)), *values)
+    on = F.lit(True)
+    for k in (*keys, ms):
+        on = on & (left[k] == r[f"_{k}"])
+    return left.join(r, on, "left").drop(*(f"_{k}" for k in (*keys, ms)))

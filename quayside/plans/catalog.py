@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from quayside.functions import exprs as E
 from quayside.operators import bars, book, features, filters, flow, research, seq, tables
 from quayside.operators import windows as W
+from quayside.session import ensure_checkpoint_dir
 from quayside.sources import views
 from quayside.sources.views import DUCK
 
@@ -45,16 +47,21 @@ def _nudge_sql(sql: str) -> str:
     return "".join([*parts, sql[at:]])
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, sql: str | None = None, recursive: bool = False):
     def put(fn):
         QUERIES[name] = fn
         if sql:
-            ORACLE[name] = f"WITH {DUCK} {_nudge_sql(sql)}"
+            ORACLE[name] = f"WITH {'RECURSIVE ' * recursive}{DUCK} {_nudge_sql(sql)}"
         return fn
 
     return put
 
 
+def scratch(s: SparkSession, name: str) -> str:
+    """A new path in the folder that all executors share, for queries that change a table."""
+    return f"{ensure_checkpoint_dir(s)}/{name}-{uuid.uuid4().hex}"
+
+
 def rounded(df: DataFrame, digits: int = 7) -> DataFrame:
     """Doubles rounded, so that the order of a sum does not show."""
     return df.select(*(nudged(F.col(f"`{c}`"), digits).alias(c) if t == "double" else F.col(f"`{c}`").alias(c) for c, t in df.dtypes))
@@ -67,7 +74,7 @@ def pick(df: DataFrame, *names: str, digits: int = 7) -> DataFrame:
 # ---- scans, projections, filters, symbols, times
 
 
-@query("s5_projection_limit", "SELECT count(*) AS n, CAST(sum(k) AS BIGINT) AS k FROM (SELECT seq % 7 AS k FROM trades_v)")
+@query("s5_projection", "SELECT count(*) AS n, CAST(sum(k) AS BIGINT) AS k FROM (SELECT seq % 7 AS k FROM trades_v)")
 def _(s, d):
     return views.trades(s, d).select((F.col("seq") % 7).alias("k")).agg(F.count("*").alias("n"), F.sum("k").alias("k"))
 
@@ -256,7 +263,12 @@ def _(s, d):
     return rounded(views.trades(s, d).select("seq", W.zscore("price", 20).alias("z")), 6)
 
 
-@query("w7_composite")
+def _z_sql(x: str) -> str:
+    w = f"OVER ({_W} ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)"
+    return f"CASE WHEN row_number() OVER ({_W}) > 20 AND stddev_pop({x}) {w} > 0 THEN ({x} - avg({x}) {w}) / stddev_pop({x}) {w} ELSE 0 END"
+
+
+@query("w7_composite", f"SELECT seq, round(({_z_sql('price')}) * (2 / 3) - ({_z_sql('amount')}) * (1 / 3), 6) AS signal FROM trades_v")
 def _(s, d):
     return rounded(views.trades(s, d).select("seq", W.composite({"price": 2.0, "amount": -1.0}, 20).alias("signal")), 6)
 
@@ -303,10 +315,12 @@ def _(s, d):
     return rounded(views.trades(s, d).select("seq", F.sum("amount").over(w).alias("cum")), 6)
 
 
-@query("j1_asof", """SELECT t.seq, k.bid AS asof_bid FROM trades_v t ASOF LEFT JOIN (SELECT exchange, symbol, ms, bid FROM ticker_v WHERE seq % 3 = 0) k
+@query("j1_asof", """SELECT t.seq, k.bid AS asof_bid FROM trades_v t ASOF LEFT JOIN (SELECT exchange, symbol, ms + 1234567 AS ms, max_by(bid, seq) AS bid FROM ticker_v GROUP BY 1, 2, 3) k
     ON t.exchange = k.exchange AND t.symbol = k.symbol AND t.ms >= k.ms""")
 def _(s, d):
-    return W.asof(views.trades(s, d), views.ticker(s, d).filter("seq % 3 = 0"), ["bid"]).select("seq", "asof_bid")
+    # Quotes come some twenty minutes late; of quotes of one instrument at one time the last counts.
+    k = views.ticker(s, d).groupBy("exchange", "symbol", (F.col("ms") + 1_234_567).alias("ms")).agg(F.max_by("bid", "seq").alias("bid"))
+    return W.asof(views.trades(s, d), k, ["bid"]).select("seq", "asof_bid")
 
 
 @query("j4_interleave", f""", {_TOP} SELECT l.seq, coalesce(b.seq, -1) AS snapshot_seq FROM lob_v l ASOF LEFT JOIN books_v b ON l.exchange = b.exchange AND l.symbol = b.symbol AND l.ms <= b.ms""")
@@ -314,12 +328,14 @@ def _(s, d):
     return W.interleave(views.book_trades(s, d), views.books(s, d)).select("seq", F.coalesce("snapshot_seq", F.lit(-1)).alias("snapshot_seq"))
 
 
-@query("j5_upsert", """SELECT coalesce(n.seq, o.seq) AS seq, coalesce(n.price, o.price) AS price, coalesce(o.amount, n.amount) AS amount
-    FROM (SELECT * FROM trades_v WHERE seq % 2 = 0) o FULL JOIN (SELECT seq, CASE WHEN seq % 5 = 0 THEN NULL ELSE price + 1 END AS price, amount FROM trades_v WHERE seq % 3 = 0) n ON o.seq = n.seq""")
+@query("j5_upsert", """SELECT coalesce(n.exchange, o.exchange) AS exchange, coalesce(n.seq, o.seq) AS seq, coalesce(n.price, o.price) AS price, coalesce(o.amount, n.amount) AS amount
+    FROM trades_v o FULL JOIN (SELECT exchange, seq + 500 AS seq, CASE WHEN seq % 5 = 0 THEN NULL ELSE price + 1 END AS price, amount FROM trades_v) n ON o.seq = n.seq AND o.exchange = n.exchange""")
 def _(s, d):
-    t = views.trades(s, d).select("seq", "price", "amount")
-    new = t.filter("seq % 3 = 0").withColumn("price", F.when(F.col("seq") % 5 != 0, F.col("price") + 1))
-    return tables.upserted(t.filter("seq % 2 = 0"), new, ["seq"], ["price"])
+    t, path = views.trades(s, d).select("exchange", "seq", "price", "amount"), scratch(s, "upsert")
+    tables.write(t, path, ["exchange"])
+    new = t.withColumns({"seq": F.col("seq") + 500, "price": F.when(F.col("seq") % 5 != 0, F.col("price") + 1)})
+    tables.upsert(s, path, new, ["seq"], ["exchange"], ["price"])
+    return tables.read(s, path).select("exchange", "seq", "price", "amount")
 
 
 @query("j6_anti_join", "SELECT seq FROM trades_v WHERE seq NOT IN (SELECT seq FROM trades_v WHERE side = 'buy')")
@@ -351,14 +367,20 @@ def _(s, d):
     return rounded(views.books(s, d).select("seq", F.posexplode("bids").alias("p", "l")).select("seq", F.col("p").cast("long").alias("i"), "l.price", "l.size"), 6)
 
 
-@query("x1_delete", "SELECT seq FROM trades_v WHERE NOT coalesce(price > 50, false)")
+@query("x1_delete", "SELECT seq, side FROM trades_v WHERE NOT coalesce(price > 50, false)")
 def _(s, d):
-    return views.trades(s, d).filter(~F.coalesce(F.col("price") > 50, F.lit(False))).select("seq")
+    path = scratch(s, "delete")
+    tables.write(views.trades(s, d), path, ["exchange", "side"])
+    tables.delete(s, path, F.col("price") > 50)
+    return tables.read(s, path).select("seq", "side")
 
 
 @query("x2_update", "SELECT seq, CASE WHEN side = 'buy' THEN price * 2 ELSE price END AS price, CASE WHEN side = 'buy' THEN price * 2 + amount ELSE amount END AS amount FROM trades_v")
 def _(s, d):
-    return tables.updated(views.trades(s, d), F.col("side") == "buy", {"price": F.col("price") * 2, "amount": F.col("price") + F.col("amount")}).select("seq", "price", "amount")
+    path = scratch(s, "update")
+    tables.write(views.trades(s, d), path, ["exchange", "symbol"])
+    tables.update(s, path, F.col("side") == "buy", {"price": F.col("price") * 2, "amount": F.col("price") + F.col("amount")})
+    return tables.read(s, path).select("seq", "price", "amount")
 
 
 @query("s12_manifest", "SELECT exchange, symbol, count(DISTINCT ms // 3600000) AS hours, min(ms) // 3600000 * 3600000 AS first_ms, max(ms) // 3600000 * 3600000 AS last_ms FROM trades_v GROUP BY 1, 2")
@@ -447,7 +469,16 @@ def order_flow(s, d):
     return _flow(s, d).select("seq", nudged("ofi", 6).alias("ofi"), nudged("log_return", 9).alias("log_return"))
 
 
-@query("d3_multi_level_flow")
+def _levels_flow(weight: str) -> str:
+    bid = "CASE WHEN bp[i] > pbp[i] THEN bs[i] WHEN bp[i] < pbp[i] THEN -pbz[i] ELSE bs[i] - pbz[i] END"
+    ask = "CASE WHEN ap[i] > pap[i] THEN -paz[i] WHEN ap[i] < pap[i] THEN az[i] ELSE az[i] - paz[i] END"
+    return f"coalesce(list_sum(list_transform(range(1, least(10, len(bp), len(pbp)) + 1), lambda i: ({bid}) * {weight} - ({ask}) * {weight})), 0)"
+
+
+@query("d3_multi_level_flow", f""", l AS (SELECT seq, ms, bp, bs, ap, az, lag(ms) OVER w AS pms, lag(bp) OVER w AS pbp, lag(bs) OVER w AS pbz, lag(ap) OVER w AS pap, lag(az) OVER w AS paz
+    FROM books_v WINDOW w AS (PARTITION BY exchange, symbol ORDER BY ms, seq))
+    SELECT seq, round(CASE WHEN pms IS NULL OR ms - pms > 300000 THEN 0 ELSE {_levels_flow('exp(-0.5::DOUBLE * (i - 1))')} END, 7) AS mlofi,
+      round(CASE WHEN pms IS NULL OR ms - pms > 300000 THEN 0 ELSE {_levels_flow('1')} END, 7) AS ofi_multi FROM l""")
 def _(s, d):
     return pick(_flow(s, d), "seq", "mlofi", "ofi_multi")
 
@@ -477,7 +508,13 @@ def _(s, d):
     return t.select("seq", nudged("tfi_60s", 8).alias("tfi_60s"), nudged("trade_vol_60s", 5).alias("trade_vol_60s"))
 
 
-@query("d10_spread_regime")
+@query("d10_spread_regime", f""", l AS (SELECT seq, exchange, symbol, ms, bs[1] AS v, list(bs[1]) {_R.format(299999)} AS w FROM books_v),
+    p AS (SELECT *, coalesce(len(list_filter(w, lambda x: x < v)) / len(w), 0.5) AS pct FROM l),
+    r AS (SELECT *, CASE WHEN pct <= 0.2::DOUBLE THEN 'tight' WHEN pct >= 0.8::DOUBLE THEN 'wide' ELSE 'normal' END AS regime FROM p),
+    d AS (SELECT *, lag(regime) OVER ({_W}) AS r0, (ms - lag(ms) OVER ({_W})) / 1000 AS dt FROM r)
+    SELECT seq, round(pct, 7) AS spread_percentile, regime AS spread_regime,
+      round(coalesce(sum(CASE WHEN r0 = 'tight' THEN dt ELSE 0 END) {_R.format(299999)} / nullif(sum(dt) {_R.format(299999)}, 0), 0), 7) AS tight_spread_pct,
+      round(coalesce(sum(CASE WHEN r0 = 'wide' THEN dt ELSE 0 END) {_R.format(299999)} / nullif(sum(dt) {_R.format(299999)}, 0), 0), 7) AS wide_spread_pct FROM d""")
 def _(s, d):
     t = book.top_of_book(views.books(s, d)).withColumn("relative_spread", F.col("top_bid_size"))
     return pick(flow.spread_regime(t), "seq", "spread_percentile", "spread_regime", "tight_spread_pct", "wide_spread_pct")
@@ -521,7 +558,12 @@ def _(s, d):
     return b.select("exchange", "symbol", "bar", *(nudged(c, 6).alias(c) for c in ("open", "high", "close")), "trade_count", nudged("vwap", 7).alias("vwap"), nudged("buy_ratio", 8).alias("buy_ratio"), "duration")
 
 
-@query("d19_throttle")
+_FIRST = "f AS (SELECT exchange, symbol, ms, min(seq) AS seq FROM trades_v GROUP BY 1, 2, 3)"
+
+
+@query("d19_throttle", f""", {_FIRST}, nx AS MATERIALIZED (SELECT a.exchange, a.symbol, a.seq, arg_min(b.seq, b.ms) AS seq1 FROM f a JOIN f b ON a.exchange = b.exchange AND a.symbol = b.symbol AND a.ms + 3600000 <= b.ms GROUP BY 1, 2, 3),
+    r AS (SELECT exchange, symbol, arg_min(seq, ms) AS seq FROM f GROUP BY 1, 2 UNION ALL SELECT nx.exchange, nx.symbol, nx.seq1 FROM r JOIN nx ON r.seq = nx.seq)
+    SELECT seq FROM r""", recursive=True)
 def _(s, d):
     return seq.throttle(views.trades(s, d), 3_600_000).filter("emit").select("seq")
 
@@ -531,10 +573,17 @@ def _(s, d):
     return flow.hit_count(views.trades(s, d)).select("seq", "hits")
 
 
-@query("f16_interactions")
+_B, _A = _sum("b", 20), _sum("a", 20)
+
+
+@query("f16_interactions", f""", {_FLOW}, rv AS (SELECT seq, coalesce(stddev_samp(lr) {_R.format(59999)}, 0) AS rv FROM fl),
+    x AS (SELECT top.*, rv, ({_B} - {_A}) / ({_B} + {_A}) AS ti, {_B} AS tb, {_A} AS ta, (bs[1] - az[1]) / (bs[1] + az[1]) AS l1,
+      ({_sum('b', 3)} - {_sum('a', 3)}) / ({_sum('b', 3)} + {_sum('a', 3)}) AS l3, ({_sum('b', 20, 'pv')} + {_sum('a', 20, 'pv')}) / ({_B} + {_A}) AS cog FROM top JOIN rv ON top.seq = rv.seq)
+    SELECT seq, round(ti * rv, 6) AS imb_times_rv, round((tb - ta) / CASE WHEN ta > 0 THEN ta ELSE 1e-10 END, 6) AS depth_asymmetry, round(l1 - l3, 6) AS imb_gradient_1_3,
+      round((cog - mid) * 10000 / mid * ti, 6) + 0 AS cog_imb FROM x""")
 def _(s, d):
     t = flow.rolling_flow(flow.order_flow(book.structural(views.books(s, d))), (5, 15, 60, 300))
-    return pick(features.interactions(t), "seq", "imb_times_rv", "depth_asymmetry", "imb_gradient_1_3", "cog_imb", digits=6)
+    return pick(features.interactions(t), "seq", "imb_times_rv", "depth_asymmetry", "imb_gradient_1_3", "cog_imb", digits=6).withColumn("cog_imb", F.col("cog_imb") + 0.0)
 
 
 # ---- research
@@ -546,12 +595,29 @@ def _(s, d):
     return research.percentile_extreme(views.trades(s, d), "price", 95.0).select("seq", "extreme")
 
 
-@query("r1_optimal_trades")
+_MOVE = "CAST(0.004 AS DOUBLE)"
+
+
+@query("r1_optimal_trades", f""", n AS (SELECT exchange, symbol, seq, price, row_number() OVER ({_W}) - 1 AS i FROM trades_v),
+    st AS (SELECT exchange, symbol, i, 1 AS seek, price AS best, i AS at, CAST(NULL AS BIGINT) AS hit, 0 AS label FROM n WHERE i = 0
+      UNION ALL
+      SELECT e.exchange, e.symbol, e.i, CASE WHEN e.trig THEN -e.seek ELSE e.seek END, CASE WHEN e.trig THEN e.price ELSE e.b END, CASE WHEN e.trig THEN e.i ELSE e.a END,
+        CASE WHEN e.trig THEN e.a END, CASE WHEN e.trig THEN e.seek ELSE 0 END
+      FROM (SELECT *, seek * (price - b * (1 + seek * {_MOVE})) > 0 AS trig FROM (SELECT n.exchange, n.symbol, n.i, n.price, st.seek,
+          CASE WHEN st.seek * (n.price - st.best) < 0 THEN n.price ELSE st.best END AS b, CASE WHEN st.seek * (n.price - st.best) < 0 THEN n.i ELSE st.at END AS a
+        FROM st JOIN n ON n.exchange = st.exchange AND n.symbol = st.symbol AND n.i = st.i + 1)) e)
+    SELECT n.seq, CAST(st.label AS BIGINT) AS label FROM st JOIN n ON n.exchange = st.exchange AND n.symbol = st.symbol AND n.i = st.hit""", recursive=True)
 def _(s, d):
     return seq.optimal_trades(views.trades(s, d), "price").filter("label <> 0").select("seq", "label")
 
 
-@query("w8_volatility_regime")
+_ALL = f"OVER ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+
+
+@query("w8_volatility_regime", f""", {_TF}, v AS (SELECT *, CASE WHEN count(log_return) OVER x = 20 THEN stddev_pop(log_return) OVER x END AS rv FROM tf
+      WINDOW x AS ({_W} ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)),
+    q AS (SELECT *, count(rv) {_ALL} AS n, quantile_cont(rv, 0.33) {_ALL} AS lo, quantile_cont(rv, 0.67) {_ALL} AS hi FROM v)
+    SELECT seq, round(rv, 7) AS rv, CAST(CASE WHEN rv IS NULL OR n < 2 THEN 1 WHEN rv <= lo THEN 0 WHEN rv >= hi THEN 2 ELSE 1 END AS BIGINT) AS vol_regime FROM q""")
 def _(s, d):
     t = features.trade_features(views.trades(s, d))
     return pick(seq.volatility_regime(t.select("exchange", "symbol", "ms", "seq", "log_return"), "log_return", 20), "seq", "rv", "vol_regime")
@@ -562,7 +628,9 @@ def _held(s, d):
     return views.trades(s, d).withColumn("position", F.expr("CASE WHEN side = 'buy' THEN 1 WHEN amount > 1.5 THEN -1 ELSE 0 END"))
 
 
-_LOG = f"""h AS (SELECT *, CASE WHEN side = 'buy' THEN 1 WHEN amount > 1.5 THEN -1 ELSE 0 END AS pos, row_number() OVER ({_W}) - 1 AS i FROM trades_v),
+def _log(held: str) -> str:
+    """The trade log of h: rows with pos and i."""
+    return f"""h AS ({held}),
     c AS (SELECT *, coalesce(lag(pos) OVER (PARTITION BY exchange, symbol ORDER BY i), 0) AS pp, max(i) OVER (PARTITION BY exchange, symbol) AS ei FROM h),
     e AS (SELECT exchange, symbol, price AS ep FROM c WHERE i = ei),
     s AS (SELECT *, lead(i) OVER (PARTITION BY exchange, symbol ORDER BY i) AS ni, lead(price) OVER (PARTITION BY exchange, symbol ORDER BY i) AS np FROM c WHERE pos <> pp),
@@ -570,6 +638,10 @@ _LOG = f"""h AS (SELECT *, CASE WHEN side = 'buy' THEN 1 WHEN amount > 1.5 THEN
       FROM s JOIN e USING (exchange, symbol) WHERE pos <> 0)"""
 
 
+_POS = "CASE WHEN side = 'buy' THEN 1 WHEN amount > 1.5 THEN -1 ELSE 0 END AS pos"
+_LOG = _log(f"SELECT *, {_POS}, row_number() OVER ({_W}) - 1 AS i FROM trades_v")
+
+
 @query("r3_trade_log", f", {_LOG} SELECT exchange, symbol, entry_idx, exit_idx, direction, round(gross, 7) AS gross_return, round(gross - 0.0001, 7) AS net_return FROM tl")
 def _(s, d):
     t = research.trade_log(_held(s, d), "price")
@@ -582,14 +654,37 @@ def _(s, d):
     return t.select("exchange", "symbol", "n_trades", nudged("win_rate", 7).alias("win_rate"), nudged("avg_trade_return_pct", 6).alias("avg_trade_return_pct"))
 
 
-@query("r2_strategy_backtest")
-def _(s, d):
+_MACHINE = f"""z AS (SELECT exchange, symbol, seq, price, row_number() OVER ({_W}) - 1 AS i, -({_z_sql('price')}) AS s FROM trades_v),
+    st AS (SELECT exchange, symbol, CAST(-1 AS BIGINT) AS i, 0 AS pos, CAST(0 AS BIGINT) AS entry FROM z WHERE i = 0
+      UNION ALL
+      SELECT exchange, symbol, i, p, CASE WHEN p <> 0 AND (p0 = 0 OR gone) THEN i ELSE entry END
+      FROM (SELECT *, CASE WHEN p0 <> 0 AND NOT gone THEN p0 WHEN s > 1 THEN 1 WHEN s < -1 THEN -1 ELSE 0 END AS p
+        FROM (SELECT z.exchange, z.symbol, z.i, z.s, st.entry, st.pos AS p0,
+          st.pos <> 0 AND (z.i >= st.entry + 50 OR CASE WHEN st.pos = 1 THEN z.s < 0.2::DOUBLE ELSE z.s > -(0.2::DOUBLE) END) AS gone
+          FROM st JOIN z ON z.exchange = st.exchange AND z.symbol = st.symbol AND z.i = st.i + 1)))"""
+
+
+def _strategy(s, d):
     t = views.trades(s, d).withColumn("z", W.zscore("price", 20))
-    p = seq.positions(t.select("exchange", "symbol", "ms", "seq", "price", "z"), seq.mean_reversion(1.0, 0.2, 50), "z")
-    return research.summary(research.trade_log(p, "price"))
+    return seq.positions(t.select("exchange", "symbol", "ms", "seq", "price", "z"), seq.mean_reversion(1.0, 0.2, 50), "z")
 
 
-@query("r3_equity_curve")
+@query("r2_positions", f", {_MACHINE} SELECT z.seq, CAST(st.pos AS BIGINT) AS position FROM st JOIN z ON z.exchange = st.exchange AND z.symbol = st.symbol AND z.i = st.i", recursive=True)
+def _(s, d):
+    return _strategy(s, d).select("seq", "position")
+
+
+@query("r2_strategy_backtest", f""", {_MACHINE}, {_log('SELECT z.*, st.pos FROM st JOIN z ON z.exchange = st.exchange AND z.symbol = st.symbol AND z.i = st.i')}
+    SELECT exchange, symbol, count(*) AS n_trades, round(avg((gross - 0.0001 > 0)::INT), 7) AS win_rate, round(avg(gross - 0.0001) * 100, 6) AS avg_trade_return_pct FROM tl GROUP BY 1, 2""", recursive=True)
+def _(s, d):
+    t = research.summary(research.trade_log(_strategy(s, d), "price"))
+    return t.select("exchange", "symbol", "n_trades", nudged("win_rate", 7).alias("win_rate"), nudged("avg_trade_return_pct", 6).alias("avg_trade_return_pct"))
+
+
+@query("r3_equity_curve", f""", {_log(f'SELECT *, {_POS}, row_number() OVER ({_W}) - 1 AS i FROM trades_v WHERE price > 1')},
+    p AS (SELECT exchange, symbol, i, sum(l) AS l FROM (SELECT exchange, symbol, entry_idx AS i, ln(1 - 0.0001::DOUBLE) AS l FROM tl UNION ALL SELECT exchange, symbol, exit_idx, ln(1 + gross - 0.0001::DOUBLE) FROM tl) GROUP BY 1, 2, 3)
+    SELECT h.seq, round(ln(10000) + coalesce(sum(l) OVER (PARTITION BY h.exchange, h.symbol ORDER BY h.i ROWS UNBOUNDED PRECEDING), 0), 5) AS log_equity
+    FROM h LEFT JOIN p ON h.exchange = p.exchange AND h.symbol = p.symbol AND h.i = p.i""")
 def _(s, d):
     return rounded(research.equity_curve(_held(s, d).filter("price > 1"), "price").select("seq", F.ln("equity").alias("log_equity")), 5)
 
@@ -616,17 +711,25 @@ def _(s, d):
     return research.streaks(research.trade_log(_held(s, d), "price")).select("exchange", "symbol", F.col("max_wins").cast("long").alias("max_wins"), F.col("max_losses").cast("long").alias("max_losses"))
 
 
-@query("w12_drawdowns")
+@query("w12_drawdowns", f""", a AS (SELECT exchange, symbol, ms, seq, price, max(price) OVER ({_W} ROWS UNBOUNDED PRECEDING) AS peak FROM trades_v),
+    b AS (SELECT *, CASE WHEN peak > 0 THEN (price - peak) / peak ELSE 0 END AS dd FROM a), g AS (SELECT *, sum((dd = 0)::INT) OVER ({_W} ROWS UNBOUNDED PRECEDING) AS g FROM b),
+    r AS (SELECT exchange, symbol, min(dd) AS m, CAST(sum((dd < 0)::INT) AS BIGINT) AS n FROM g GROUP BY exchange, symbol, g)
+    SELECT exchange, symbol, round(min(m) * 100, 7) AS max_drawdown_pct, max(n) AS max_drawdown_rows FROM r GROUP BY 1, 2""")
 def _(s, d):
     return rounded(research.drawdowns(views.trades(s, d), "price"))
 
 
-@query("r8_risk", f""", {_TF}, r AS (SELECT * FROM tf WHERE log_return IS NOT NULL), a AS (SELECT exchange, symbol, quantile_cont(log_return, 0.05) AS v FROM r GROUP BY 1, 2)
-    SELECT r.exchange, r.symbol, round(avg(log_return) / stddev_samp(log_return) * sqrt(365), 6) AS sharpe, round(any_value(v), 6) AS var_5, round(avg(log_return) FILTER (log_return <= v), 6) AS cvar_5
-    FROM r JOIN a ON r.exchange = a.exchange AND r.symbol = a.symbol GROUP BY 1, 2""")
+@query("r8_risk", f""", {_TF}, r AS (SELECT * FROM tf WHERE log_return IS NOT NULL), a AS (SELECT exchange, symbol, quantile_cont(log_return, 0.05) AS v FROM r GROUP BY 1, 2),
+    f AS (SELECT *, 1 + log_return / 100 AS f FROM r), e AS (SELECT *, exp(sum(ln(f)) OVER ({_W} ROWS UNBOUNDED PRECEDING)) AS e FROM f),
+    k AS (SELECT *, max(e) OVER ({_W} ROWS UNBOUNDED PRECEDING) AS pk FROM e), m AS (SELECT exchange, symbol, least(min(e / pk - 1), 0) * 100 AS dd, exp(sum(ln(f))) AS t, count(*) AS n FROM k GROUP BY 1, 2)
+    SELECT r.exchange, r.symbol, round(avg(log_return) / stddev_pop(log_return) * sqrt(365), 6) AS sharpe, round(avg(log_return) / stddev_pop(log_return) FILTER (log_return < 0) * sqrt(365), 6) AS sortino,
+      round(any_value(v) / 100, 6) AS var_5, round(avg(log_return) FILTER (log_return <= v) / 100, 6) AS cvar_5, round(any_value(dd), 5) AS max_drawdown_pct,
+      round(coalesce((pow(any_value(t), 365 / any_value(n)) - 1) * 100 / nullif(abs(any_value(dd)), 0), 0), 4) AS calmar
+    FROM r JOIN a ON r.exchange = a.exchange AND r.symbol = a.symbol JOIN m ON r.exchange = m.exchange AND r.symbol = m.symbol GROUP BY 1, 2""")
 def _(s, d):
-    t = features.trade_features(views.trades(s, d)).filter("log_return IS NOT NULL")
-    return pick(research.risk(t, "log_return"), "exchange", "symbol", "sharpe", "var_5", "cvar_5", digits=6)
+    t = features.trade_features(views.trades(s, d)).filter("log_return IS NOT NULL").withColumn("x", F.col("log_return") / 100)
+    r = research.risk(t, "x")
+    return r.select("exchange", "symbol", *(nudged(c, n).alias(c) for c, n in (("sharpe", 6), ("sortino", 6), ("var_5", 6), ("cvar_5", 6), ("max_drawdown_pct", 5), ("calmar", 4))))
 
 
 @query("a12_correlations", f""", f AS (SELECT amount, CAST(side = 'buy' AS INT) AS b, coalesce((lead(price, 5) OVER w - price) / price, 0) AS f5 FROM trades_v WINDOW w AS ({_W}))
@@ -671,12 +774,17 @@ def _daily(s, d):
 _DAILY = "dy AS (SELECT ms // 86400000 AS day, replace(symbol, 'USDC', 'USD') AS asset, avg(price) / 100 - 0.5 AS r FROM trades_v GROUP BY ALL)"
 
 
-@query("r10_inverse_vol", f""", {_DAILY}, v AS (SELECT *, stddev_pop(r) OVER (PARTITION BY asset ORDER BY day ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS sd FROM dy),
-    w AS (SELECT day, asset, CASE WHEN sd > 0 THEN 1 / sd ELSE 0 END AS w FROM v), x AS (SELECT *, sum(w) OVER (PARTITION BY day) AS t, count(*) OVER (PARTITION BY day) AS n FROM w)
-    SELECT day, asset, round(CASE WHEN t > 0 THEN w / t ELSE 1 / n END, 6) AS weight FROM x""")
+def _floored(w: str, floor: str) -> str:
+    return f"""x AS (SELECT day, asset, w, sum(w) OVER (PARTITION BY day) AS t, count(*) OVER (PARTITION BY day) AS n FROM ({w})),
+    y AS (SELECT day, asset, greatest(CASE WHEN t > 0 THEN w / t ELSE 1 / n END, {floor}::DOUBLE) AS w FROM x) SELECT day, asset, round(w / sum(w) OVER (PARTITION BY day), 6) AS weight FROM y"""
+
+
+_BEFORE = "OVER (PARTITION BY asset ORDER BY day ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)"
+
+
+@query("r10_inverse_vol", f", {_DAILY}, {_floored(f'SELECT day, asset, CASE WHEN count(r) {_BEFORE} >= 3 AND stddev_pop(r) {_BEFORE} > 0 THEN 1 / stddev_pop(r) {_BEFORE} ELSE 1 END AS w FROM dy', '0.05')}")
 def _(s, d):
-    t = research.inverse_vol_weights(_daily(s, d), "r", "day", "asset")
-    return pick(t, "day", "asset", "weight", digits=6)
+    return pick(research.inverse_vol_weights(_daily(s, d), "r", "day", "asset"), "day", "asset", "weight", digits=6)
 
 
 @query("r10_equal_weights", f", {_DAILY} SELECT day, asset, round(1 / count(*) OVER (PARTITION BY day), 7) AS weight FROM dy")
@@ -684,9 +792,14 @@ def _(s, d):
     return pick(research.equal_weights(_daily(s, d), "day"), "day", "asset", "weight")
 
 
-@query("r10_momentum_weights")
+@query("r10_momentum_weights", f", {_DAILY}, mo AS (SELECT day, asset, coalesce(avg(r) {_BEFORE}, 0) AS m FROM dy), {_floored('SELECT day, asset, m - min(m) OVER (PARTITION BY day) + 0.001::DOUBLE AS w FROM mo', '0.02')}")
 def _(s, d):
-    return pick(research.momentum_weights(_daily(s, d), "r", "day", "asset", floor=0.02), "day", "asset", "weight")
+    return pick(research.momentum_weights(_daily(s, d), "r", "day", "asset", floor=0.02), "day", "asset", "weight", digits=6)
+
+
+@query("r10_auc_weights", f", {_DAILY}, {_floored('SELECT day, asset, greatest(r, 0.001::DOUBLE) AS w FROM dy', '0.05')}")
+def _(s, d):
+    return pick(research.auc_weights(_daily(s, d).withColumn("auc", F.col("r") + 0.5), "auc", "day"), "day", "asset", "weight", digits=6)
 
 
 @query("r11_ensemble", """SELECT seq, round(0.5 * (price / 100) + 0.3 * (amount / 10) + 0.2 * (side = 'buy')::INT, 7) AS weighted,
@@ -696,14 +809,27 @@ def _(s, d):
     return pick(research.ensemble(t, {"a": 5, "b": 3, "c": 2}), "seq", "weighted", "agreement")
 
 
-@query("r9_bootstrap")
+def _draws(source: str, x: str, first: int) -> str:
+    part = lambda at: f"CAST('0x' || substr(md5(concat_ws('|', CAST(seq AS VARCHAR), '0')), {at}, 7) AS BIGINT)"
+    return f"""dr AS (SELECT {x} AS x, b, ((p * b + q) % {research.PRIME} + 0.5::DOUBLE) / {research.PRIME} AS u
+      FROM (SELECT *, {part(1)} AS p, {part(8)} AS q FROM {source}), (SELECT unnest(range({first}, 201)) AS b))"""
+
+
+_POISSON = " + ".join(f"(u > {c!r}::DOUBLE)::INT" for c in (0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563, 0.9994058151824183, 0.999916758850712, 0.9999897508033253))
+
+
+@query("r9_bootstrap", f""", {_draws('trades_v', 'price', 1)}, k AS (SELECT x, b, {_POISSON} AS k FROM dr), m AS (SELECT b, sum(k * x) / sum(k) AS m FROM k GROUP BY b)
+    SELECT round(avg(m), 7) AS mean, round(quantile_cont(m, 0.025), 7) AS low, round(quantile_cont(m, 0.975), 7) AS high FROM m""")
 def _(s, d):
-    return research.bootstrap_mean(views.trades(s, d), "price")
+    return rounded(research.bootstrap_mean(views.trades(s, d), "price", ["seq"]))
 
 
-@query("r9_sign_flip")
+@query("r9_sign_flip", f""", {_TF}, lr AS (SELECT seq, log_return FROM tf WHERE log_return IS NOT NULL), {_draws('lr', 'log_return', 0)},
+    su AS (SELECT b, abs(sum(CASE WHEN b = 0 OR u < 0.5::DOUBLE THEN x ELSE -x END)) AS s FROM dr GROUP BY b)
+    SELECT round((count(*) FILTER (b > 0 AND s >= (SELECT s FROM su WHERE b = 0) * (1 - 1e-12::DOUBLE)) + 1) / 201, 7) AS p_value FROM su""")
 def _(s, d):
-    return research.sign_flip_test(features.trade_features(views.trades(s, d)).filter("log_return IS NOT NULL"), "log_return")
+    t = features.trade_features(views.trades(s, d)).filter("log_return IS NOT NULL")
+    return rounded(research.sign_flip_test(t, "log_return", ["seq"]))
 
 
 @query("r9_holm", """, p AS (SELECT symbol, 1.0 / count(*) AS p FROM trades_v GROUP BY 1), k AS (SELECT *, row_number() OVER (ORDER BY p, symbol) AS k, count(*) OVER () AS m FROM p)

@@ -6,12 +6,14 @@ from abc import ABC, abstractmethod
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming.query import StreamingQuery
 
 from quayside.functions.exprs import normalize_symbol
 from quayside.operators import bars, book, features, flow, tables
 from quayside.operators.filters import FilterSpec, predicate
 from quayside.plans.config import Config
 from quayside.sources import readers
+from quayside.streaming import flows
 
 
 class Transform(ABC):
@@ -94,6 +96,37 @@ def run(spark: SparkSession, t: Transform, where: FilterSpec | None = None, dry_
     return rows
 
 
+def run_stream(spark: SparkSession, t: Transform, checkpoint: str, every: str | None = None, files_per_trigger: int = 100) -> StreamingQuery:
+    """The transform over each batch of new files of its first input, appended to its outputs; other inputs are read whole in each
+    batch. Without every, what is there is processed and the query ends. What a transform carries from row to row begins anew in each
+    batch; operators that must carry over are those of quayside.streaming."""
+    first = t.config.inputs[0]
+    if not first.schema:
+        raise ValueError("a stream needs the schema of its first input")
+    source = flows.watch(spark, first.path, first.schema, first.format, files_per_trigger)
+
+    def batch(df: DataFrame, number: int) -> None:
+        inputs = {first.name: df.filter(predicate(first.filters)) if first.filters else df}
+        inputs |= {i.name: readers.read(spark, i.path, i.format, i.schema) for i in t.config.inputs[1:]}
+        outputs = t.transform(inputs)
+        for o in t.config.outputs:
+            tables.write(outputs[o.name], o.path, o.partition_by, "append")
+
+    return flows.each_batch(source, batch, checkpoint, every)
+
+
+class Chain:
+    """Record processors one after the other: each takes a DataFrame and gives one, with more or fewer rows as it likes."""
+
+    def __init__(self, *steps: Callable[[DataFrame], DataFrame]):
+        self.steps = steps
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        for step in self.steps:
+            df = step(df)
+        return df
+
+
 @REGISTRY.register("orderbook_features")
 class BookFeatures(Transform):
     """Input orderbook (ms, seq, bids, asks), optionally trades; output silver."""
@@ -118,6 +151,7 @@ class BookFeatures(Transform):
         if f.has("dynamic"):
             d = flow.rolling_flow(flow.motion(flow.order_flow(d, f.ofi_levels, f.ofi_decay_alpha, f.max_gap_seconds * 1000)), f.rolling_windows)
             d = flow.kyle_lambda(flow.spread_regime(d, f.spread_regime_window, f.spread_tight, f.spread_wide), f.kyle_lambda_window)
+            d = flow.book_statistics(d)
             d = flow.trade_flow(d, trades, f.rolling_windows) if trades is not None else d
         d = features.add_date_columns(d)
         out = {"silver": d.drop("bids", "asks") if f.drop_raw_book_arrays else d}

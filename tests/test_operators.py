@@ -162,10 +162,81 @@ def test_rebuild_book(spark):
 
 
 def test_sign_flip_and_bootstrap(spark):
-    d = spark.createDataFrame([(float(i % 7 + 1),) for i in range(100)], "x double")
-    b = research.bootstrap_mean(d.withColumn("x", F.col("x") + F.rand(1) / 1000), "x").first()
+    d = spark.createDataFrame([(i, float(i % 7 + 1)) for i in range(100)], "k long, x double")
+    b = research.bootstrap_mean(d, "x", ["k"]).first()
     assert b.low < b.mean < b.high and abs(b.mean - 3.95) < 0.3
-    assert research.sign_flip_test(d.withColumn("x", F.col("x") + F.rand(1) / 1000), "x").first().p_value < 0.02
+    assert research.sign_flip_test(d, "x", ["k"]).first().p_value < 0.02
+
+
+def test_resampling_of_equal_values(spark):
+    import numpy as np
+
+    ones = spark.createDataFrame([(i, 1.0) for i in range(400)], "k long, x double")
+    assert research.sign_flip_test(ones, "x", ["k"]).first().p_value < 0.01
+    b = research.bootstrap_mean(ones, "x", ["k"]).first()
+    assert (b.mean, b.low, b.high) == (1.0, 1.0, 1.0)
+    x = np.repeat([0.0, 1.0], 200)
+    b = research.bootstrap_mean(spark.createDataFrame([(i, float(v)) for i, v in enumerate(x)], "k long, x double"), "x", ["k"], 1000).first()
+    r = np.random.default_rng(1)
+    low, high = np.percentile([r.choice(x, 400).mean() for _ in range(1000)], [2.5, 97.5])
+    assert abs(b.low - low) < 0.015 and abs(b.high - high) < 0.015
+    balanced = spark.createDataFrame([(i, float(1 - 2 * (i % 2))) for i in range(400)], "k long, x double")
+    assert research.sign_flip_test(balanced, "x", ["k"]).first().p_value > 0.9
+
+
+def test_total_loss_leaves_nothing(spark):
+    # A short position at a price that doubles and more loses all; what comes after cannot bring it back.
+    d = trades(spark, (0, 100, 1, "b"), (1, 1e-300, 1, "b"), (2, 5, 1, "b")).withColumn("position", F.lit(1))
+    r = research.equity_curve(d.withColumn("price", F.when(F.col("seq") == 2, 0.0).otherwise(F.col("price"))), "price", 0.0).orderBy("ms").collect()
+    assert [round(x.equity, 6) for x in r] == [10_000.0, 10_000.0, 0.0]
+
+
+def test_chained_curves(spark):
+    rows = [(1, 0, 2.0), (1, 1, 3.0), (2, 2, 10.0), (2, 3, 5.0), (3, 4, -1.0), (3, 5, 7.0), (4, 6, 4.0), (4, 7, 8.0)]
+    d = spark.createDataFrame(rows, "day long, ms long, equity double")
+    got = [round(r.equity, 9) for r in research.chained(d, "day", order=("ms",)).orderBy("ms").collect()]
+    assert got == [1.0, 1.5, 1.5, 0.75, -1.0, 7.0, 0.75, 1.5]
+
+
+def test_hindsight_profit(spark):
+    d = trades(spark, (0, 100, 1, "b"), (1, 110, 1, "b"), (2, 50, 1, "b"), (3, 40, 1, "b"), (4, 10, 1, "b")).withColumn("label", F.element_at(F.array(*map(F.lit, (1, -1, 1, -1, 1))), (F.col("seq") + 1).cast("int")))
+    r = research.hindsight_profit(d, "price").first()
+    a, b = 1.1 - 0.002, 0.8 - 0.002
+    assert r.n_trades == 2 and math.isclose(r.total_return, (a * b - 1) * 100) and r.win_rate == 50 and math.isclose(r.total_fees, 0.3)
+    assert research.hindsight_profit(d.withColumn("label", F.lit(0)), "price").first().n_trades == 0
+
+
+def test_walk_forward_learns_and_never_sees_later_days(spark):
+    import random
+
+    r = random.Random(2)
+    rows = []
+    for i in range(1200):
+        x = r.random()
+        rows.append((i, i // 200, x, r.random(), int(x + r.gauss(0, 0.1) > 0.5)))
+    d = spark.createDataFrame(rows, "seq long, day long, x double, y double, up int").repartition(2)
+    folds = research.expanding(list(range(6)), 4)
+    assert folds == [([0, 1, 2, 3], [4]), ([0, 1, 2, 3, 4], [5])]
+    p = research.walk_forward(d, ["x", "y"], "up", "day", folds, trees=5, depth=3).cache()
+    assert p.count() == 400 and all(q.auc > 0.9 for q in research.auc(p, "probability", "up", ("fold",)).collect())
+    mi = {q.feature: q.mutual_information for q in research.mutual_information(d.withColumn("up", F.col("up").cast("double")), ["x", "y"], "up", 8).collect()}
+    assert mi["x"] > 0.3 > 0.05 > mi["y"] >= 0
+
+
+def test_sessions_percentiles_and_running_stats(spark):
+    d = trades(spark, (0, 1, 1, "b"), (10, 5, 1, "b"), (5_000, 3, 1, "b"), (5_001, 9, 1, "b"))
+    s = W.sessions(d, 4_990).orderBy("ms").collect()
+    assert [(x.session, x.session_ms) for x in s] == [(0, 0), (0, 0), (1, 5000), (1, 5000)]
+    q = d.withColumn("q", W.rolling_percentile("price", 10, 0.5)).orderBy("ms").collect()
+    assert [x.q for x in q] == [1.0, 1.0, 3.0, 3.0]
+    r = W.running_stats(d, "price", "p").orderBy("ms").collect()
+    assert [x.p_var for x in r][:2] == [0.0, 8.0] and r[3].p_mean == 4.5
+
+
+def test_closed_bars_leave_out_the_last(spark):
+    d = trades(spark, (0, 1, 1, "b"), (500, 3, 1, "b"), (70_000, 2, 1, "b")).withColumns({"mid_price": F.col("price"), "spread": F.lit(1.0), "relative_spread": F.lit(None).cast("double"), "imbalance_L1": F.lit(0.5), "ofi": F.lit(2.0), "log_return": F.lit(0.0)})
+    assert [(x.bar_ms, x.open, x.close, x["count"], x.mean_relative_spread, x.sum_ofi) for x in bars.closed_bars(d, 60).collect()] == [(0, 1.0, 3.0, 2, 0.0, 4.0)]
+    assert bars.closed_bars(d, 60, flush=True).count() == 2 and bars.durations_of(["bars_60s", "x", "bars_900s"]) == (60, 900)
 
 
 def test_asset_matrix(spark):

@@ -130,3 +130,108 @@ def test_streaming_order_flow_equals_batch(spark, tmp_path):
     got = {(r.seq, round(r.ofi, 6)) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     want = {(r.seq, round(r.ofi, 6)) for r in flow.order_flow(book.top_of_book(views.books(spark, SF))).collect()}
     assert got == want
+
+
+ODD = [("a:b", 1), ("a:b", 2), (None, 1), (None, 2), ("x/y", 1), ("x/y", 2), ("50%", 1), ("ok", 1), ("ok", 2), ("[q]*?", 1)]
+
+
+def odd_table(spark, path):
+    tables.write(spark.createDataFrame([(s, v, float(v)) for s, v in ODD], "symbol string, v long, p double"), path, ["symbol"], sanitized=False)
+
+
+def content(spark, path):
+    return sorted(((r.symbol or "-", r.v, r.p) for r in tables.read(spark, path).collect()), key=str)
+
+
+def test_changes_reach_partitions_of_any_name(spark, tmp_path):
+    p = str(tmp_path / "t")
+    odd_table(spark, p)
+    st = tables.delete(spark, p, F.col("v") == 1)
+    assert (st.partitions, st.rows_before, st.rows_after, st.changed) == (6, 10, 4, 6)
+    assert content(spark, p) == sorted([(s or "-", v, float(v)) for s, v in ODD if v != 1], key=str)
+    assert tables.update(spark, p, F.col("v") == 2, {"p": F.col("p") * 10}).changed == 4
+    assert content(spark, p) == sorted([(s or "-", v, 20.0) for s, v in ODD if v != 1], key=str)
+    new = spark.createDataFrame([(None, 2, None), ("", 7, 7.0), ("a:b", 2, 5.0), ("x/y", 9, 9.0), ("new:one", 1, 1.0)], "symbol string, v long, p double")
+    st = tables.upsert(spark, p, new, ["v"], ["symbol"])
+    assert (st.inserted, st.changed, st.rows_before, st.rows_after) == (3, 2, 3, 6)
+    assert content(spark, p) == sorted([("-", 2, 20.0), ("-", 7, 7.0), ("a:b", 2, 5.0), ("x/y", 2, 20.0), ("x/y", 9, 9.0), ("ok", 2, 20.0), ("new:one", 1, 1.0)], key=str)
+    assert tables.Files(spark, p).beside(p, tables.SWAP) == []
+
+
+def test_a_change_within_some_partitions_only(spark, tmp_path):
+    p = str(tmp_path / "t")
+    odd_table(spark, p)
+    assert tables.delete(spark, p, F.col("v") == 1, partitions=F.col("symbol") == "ok").changed == 1
+    assert tables.update(spark, p, F.col("v") == 2, {"p": F.lit(0.0)}, partitions=F.col("symbol") == "x/y").changed == 1
+    assert len(content(spark, p)) == 9 and ("x/y", 2, 0.0) in content(spark, p)
+
+
+def test_a_swap_that_was_broken_off_is_completed_or_undone(spark, tmp_path, monkeypatch):
+    p = str(tmp_path / "t")
+    odd_table(spark, p)
+    before = content(spark, p)
+    real, calls = tables.Files.rename, []
+
+    def breaking(after):
+        def rename(self, a, b):
+            calls.append(1)
+            if len(calls) > after:
+                raise OSError("power cut")
+            return real(self, a, b)
+
+        return rename
+
+    monkeypatch.setattr(tables.Files, "rename", breaking(0))
+    with pytest.raises(OSError):
+        tables.delete(spark, p, F.col("v") == 1)
+    monkeypatch.undo()
+    assert content(spark, p) == before and tables.recover(spark, p) == 1 and content(spark, p) == before
+    for after in (1, 2, 3, 6):
+        calls.clear()
+        q = str(tmp_path / f"t{after}")
+        odd_table(spark, q)
+        monkeypatch.setattr(tables.Files, "rename", breaking(after))
+        with pytest.raises(OSError):
+            tables.delete(spark, q, F.col("v") == 1)
+        monkeypatch.undo()
+        assert tables.recover(spark, q) == 1
+        assert content(spark, q) == sorted([(s or "-", v, float(v)) for s, v in ODD if v != 1], key=str)
+
+
+def test_migration_mismatch_and_layout(spark, tmp_path):
+    p = str(tmp_path / "t")
+    rows = [("A-USDC", 1, "A"), ("A-USD", 2, "A"), ("B-USDC", 3, "B"), ("C-EUR", 4, "C"), (None, 5, None)]
+    tables.write(spark.createDataFrame(rows, "symbol string, v long, base string"), p, ["symbol"], sanitized=False)
+    assert tables.migrate_symbols(spark, p, "USDC", "USD", dry_run=True).changed == 2
+    assert tables.migrate_symbols(spark, p, "USDC", "USD").changed == 2
+    assert sorted((r.symbol or "-", r.v) for r in tables.read(spark, p).collect()) == [("-", 5), ("A-USD", 1), ("A-USD", 2), ("B-USD", 3), ("C-EUR", 4)]
+    assert tables.migrate_symbols(spark, p, "USDC", "USD").changed == 0
+    expected = {"symbol": F.concat("base", F.lit("-USD"))}
+    bad = tables.mismatched(spark, p, expected).collect()
+    assert [(r.v, "symbol=C-EUR" in r.file) for r in bad] == [(4, True)]
+    assert tables.fix_mismatched(spark, p, expected).changed == 1 and tables.mismatched(spark, p, expected).count() == 0
+    assert tables.layout_problems(spark, p, ["symbol"]) == [] and len(tables.layout_problems(spark, p, ["exchange"])) == 4
+    d = tables.ensure_partition_columns(spark.createDataFrame([(1704067200000,)], "ms long"), ["year", "day"]).first()
+    assert (d.year, d.day) == (2024, 1)
+    with pytest.raises(ValueError):
+        tables.ensure_partition_columns(spark.createDataFrame([(1,)], "ms long"), ["exchange"])
+
+
+def test_broken_files_are_found_and_repaired(spark, tmp_path):
+    p, q = str(tmp_path / "t"), str(tmp_path / "copy")
+    odd_table(spark, p)
+    heard = []
+    assert tables.sync(spark, p, q, pattern="symbol=(ok|50)", on_file=lambda name, size: heard.append(name))["copied"] == 2 == len(heard)
+    files = [f for f, _ in tables.Files(spark, p).list(p)]
+    for mark in ("symbol=ok", "symbol=a"):
+        name = next(f for f in files if mark in f).removeprefix("file:")
+        data = open(name, "rb").read()
+        open(name, "wb").write(data[: len(data) // 2])
+        os.remove(os.path.join(os.path.dirname(name), "." + os.path.basename(name) + ".crc"))
+    assert len(tables.broken_files(spark, p)) == 2
+    got = tables.repair(spark, p, q)
+    assert [len(got[k]) for k in ("fetched", "deleted")] == [1, 1] and tables.broken_files(spark, p) == []
+    assert len(content(spark, p)) == 8
+    tables.write(spark.range(3).toDF("v"), str(tmp_path / "flat"), [])
+    tables.write(spark.range(2).toDF("v"), str(tmp_path / "flat"), [])
+    assert spark.read.parquet(str(tmp_path / "flat")).count() == 5
