@@ -68,8 +68,10 @@ def structural(df: DataFrame, levels: int = 20, parity: bool = False) -> DataFra
     return d.withColumns(out).drop(*(x for x in sums if x[0] == "_"))
 
 
-def level_columns(df: DataFrame, levels: int) -> DataFrame:
-    return df.withColumns({f"{side}_{what}_L{i}": level(s, i, what) for side, s in (("bid", "bids"), ("ask", "asks")) for what in ("price", "size") for i in range(levels)})
+def level_columns(df: DataFrame, levels: int, missing: float | None = 0.0) -> DataFrame:
+    """Prices and sizes of the first levels as columns; a level that is not there is 0, or null where missing is None."""
+    at = (lambda s, i, what: F.get(F.col(s), F.lit(i)).getField(what)) if missing is None else level
+    return df.withColumns({f"{side}_{what}_L{i}": at(s, i, what) for side, s in (("bid", "bids"), ("ask", "asks")) for what in ("price", "size") for i in range(levels)})
 
 
 def index_bands(df: DataFrame, bands: tuple[int, ...] = (5, 10, 25, 50, 100)) -> DataFrame:

@@ -22,6 +22,12 @@ def product(x: Column) -> Column:
     return F.when(F.sum(F.when(f == 0, 1).otherwise(0)) > 0, 0.0).otherwise(F.coalesce(size, F.lit(1.0)) * sign) - 1
 
 
+def pearson(x: str, y: str) -> Column:
+    """Correlation as an aggregate, over rows where neither is null; null where one does not vary."""
+    a, b = F.when(F.col(y).isNotNull(), F.col(x).cast("double")), F.when(F.col(x).isNotNull(), F.col(y).cast("double"))
+    return sdiv(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+
 def trade_log(df: DataFrame, price: str, fee: float = 0.0001, keys=KEYS) -> DataFrame:
     """One row per holding from a column position: a change of position closes at that row's price; the last closes at the end.
 
@@ -192,7 +198,7 @@ def correlations(df: DataFrame, features: list[str], price: str, horizons: tuple
     """feature, horizon, correlation with the forward return (whose tail counts as 0); null under least rows. One pass."""
     d = df.withColumns({f"_f{h}": forward_return(price, h, w=ordered(keys)) for h in horizons})
     n = F.count("*")
-    aggs = [F.when(F.count(c) > least, F.corr(c, f"_f{h}")).alias(f"{c}|{h}") for c in features for h in horizons]
+    aggs = [F.when(F.count(c) > least, pearson(c, f"_f{h}")).alias(f"{c}|{h}") for c in features for h in horizons]
     wide = d.agg(n.alias("_n"), *aggs)
     rows = ", ".join(f"'{c}', {h}, `{c}|{h}`" for c in features for h in horizons)
     return wide.selectExpr(f"stack({len(features) * len(horizons)}, {rows}) AS (feature, horizon, correlation)")
@@ -204,7 +210,7 @@ def rank_correlation(df: DataFrame, x: str, y: str, by=KEYS) -> DataFrame:
     for c in (x, y):
         w = Window.partitionBy(*by)
         d = d.withColumn(f"_r_{c}", F.rank().over(w.orderBy(c)) + (F.count("*").over(Window.partitionBy(*by, c)) - 1) / 2)
-    return d.groupBy(*by).agg(F.count("*").alias("n"), F.corr(f"_r_{x}", f"_r_{y}").alias("rank_correlation"))
+    return d.groupBy(*by).agg(F.count("*").alias("n"), pearson(f"_r_{x}", f"_r_{y}").alias("rank_correlation"))
 
 
 def percentile_extreme(df: DataFrame, x: str, upper: float = 99.5, lower: float | None = None, keys=KEYS) -> DataFrame:
@@ -320,7 +326,7 @@ def screen(df: DataFrame, features: list[str], price: str, horizons: tuple[int,
     d = df.withColumns({f"_f{h}": (F.lead(price, h).over(w) - F.col(price)) / F.when(F.col(price) != 0, F.col(price)) for h in horizons})
     pairs = [(c, h) for c in features for h in horizons]
     both = lambda c, h: F.col(c).isNotNull() & F.col(f"_f{h}").isNotNull()
-    daily = d.groupBy(asset, day).agg(*(F.when(F.sum(both(c, h).cast("int")) >= least, F.corr(c, f"_f{h}")).alias(f"{c}|{h}") for c, h in pairs))
+    daily = d.groupBy(asset, day).agg(*(F.when(F.sum(both(c, h).cast("int")) >= least, pearson(c, f"_f{h}")).alias(f"{c}|{h}") for c, h in pairs))
     rows = ", ".join(f"'{c}', {h}, `{c}|{h}`" for c, h in pairs)
     each = daily.select(asset, F.expr(f"stack({len(pairs)}, {rows}) AS (feature, horizon, c)")).filter("c IS NOT NULL AND NOT isnan(c)")
     mean = each.groupBy("feature", "horizon", asset).agg(F.avg("c").alias("c"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -139,3 +142,15 @@ def parse_unified(records: DataFrame) -> DataFrame:
 
 def route(df: DataFrame, channels: list[str], column: str = "channel") -> dict[str, DataFrame]:
     return {c: df.filter(F.col(column) == c) for c in channels}
+
+
+def in_batches(df: DataFrame, rows: int, fn: Callable[[pd.DataFrame], list[tuple]], schema: str) -> DataFrame:
+    """fn over batches of at most `rows` rows of each partition, each a pandas frame; it gives rows of the schema."""
+    names = [c.split()[0] for c in schema.split(",")]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in frames:
+            for at in range(0, len(p), rows):
+                yield pd.DataFrame(fn(p.iloc[at : at + rows]), columns=names)
+
+    return df.mapInPandas(run, schema)
