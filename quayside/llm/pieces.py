@@ -16,7 +16,7 @@ import math
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -171,38 +171,63 @@ class Pieces:
             self.prepare([word])
         return self.words[word]
 
-    def draw(self, word: str, uniform: Iterator[float], without: dict[bytes, float], rest: float) -> tuple[float, bytes]:
-        """A segmentation drawn from all but without; rest is their probability. A common rest is drawn from the lattice
-        until it fits, a rare one from ever longer lists of the best."""
+    def draw(self, word: str, uniform: Iterator[float], without: Collection[bytes], rest: float) -> tuple[float, bytes]:
+        """A segmentation drawn from all but without, whose ids those are; rest is about the probability of all others. A common rest
+        is drawn from the lattice until it fits, a rare one from the lattice less the ways left out. Either is exact."""
         into, mass = self.lattice(word)
+        steps = lambda j: [(math.exp(mass[i] + w - mass[j]), i, w, own) for i, w, own in into[j]]
+
+        def back(j: int, p: float, ids: list) -> tuple[float, bytes]:
+            while j > 0:
+                u, at = next(uniform), 0.0
+                for x, i, w, own in steps(j):  # noqa: B007
+                    at += x
+                    if u < at:
+                        break
+                p += mass[i] + w - mass[j]
+                ids.append(own)
+                j = i
+            return min(0.0, p), array("I", [x for own in reversed(ids) for x in own]).tobytes()
+
         if rest > 0.05:
-            while True:
-                j, ids, p = len(word), [], 0.0
-                while j > 0:
-                    u, at = next(uniform), 0.0
-                    for i, w, own in into[j]:  # noqa: B007
-                        at += math.exp(mass[i] + w - mass[j])
-                        if u < at:
-                            break
-                    p += mass[i] + w - mass[j]
-                    ids.append(own)
-                    j = i
-                seg = array("I", [x for own in reversed(ids) for x in own]).tobytes()
-                if seg not in without:
-                    return min(0.0, p), seg
-        u, n = next(uniform) * rest, 4 * LISTED
+            while (found := back(len(word), 0.0, []))[1] in without:
+                pass
+            return found
+        # Nodes of the tree of what is left out, read from the end: (place in the lattice, ways left out and how much of each is left).
+        nodes: list[tuple[int, list[tuple[bytes, int]]]] = [(len(word), [(seg, len(seg)) for seg in without])]
+        arcs: list[list[tuple]] = []
+        for j, barred in nodes:
+            own_arcs = []
+            for x, i, w, own in steps(j):
+                tail = array("I", own).tobytes()
+                left = [(seg, end - len(tail)) for seg, end in barred if seg.endswith(tail, 0, end) and (i > 0) == (end > len(tail))]
+                child = None if not left else -1 if i == 0 else len(nodes)
+                if child is not None and child >= 0:
+                    nodes.append((i, left))
+                own_arcs.append((x, i, w, own, child))
+            arcs.append(own_arcs)
+        # Share of a node's mass that is not left out: sums of what is there, no differences.
+        free = [0.0] * (len(nodes) + 1)
+        for n in range(len(nodes) - 1, -1, -1):
+            free[n] = sum([x * (1.0 if c is None else free[c]) for x, _, _, _, c in arcs[n]])
+        n, p, ids = 0, 0.0, []
         while True:
-            found, more = self.best(into, n)
-            at = 0.0
-            for x, seg in found:
-                if seg not in without:
-                    last = (min(0.0, x - mass[-1]), seg)
-                    at += math.exp(last[0])
-                    if u < at:
-                        return last
-            if not more or n > 4096:
-                return last
-            n *= 4
+            u, chosen = next(uniform) * free[n], None
+            for arc in arcs[n]:
+                x = arc[0] * (1.0 if arc[4] is None else free[arc[4]])
+                if x > 0:
+                    chosen = arc
+                    u -= x
+                    if u < 0:
+                        break
+            if chosen is None:
+                raise ValueError("every segmentation is left out")
+            _, i, w, own, child = chosen
+            p += mass[i] + w - mass[nodes[n][0]]
+            ids.append(own)
+            if child is None:
+                return back(i, p, ids)
+            n = child
 
 
 def uniforms(seed: np.ndarray, round_: int, pos: np.ndarray) -> np.ndarray:
@@ -291,7 +316,7 @@ def sample(model: Pieces, texts: list[str], seeds: np.ndarray, k: int) -> list[l
         for j in np.flatnonzero(c >= LISTED).tolist():
             t = int(at[j])
             w = int(word[t])
-            p[j], own[r, t] = model.draw(names[w], _stream(int(seed[t]), r, int(pos[t])), dict.fromkeys(segs[w], 0.0), float(others[w]))
+            p[j], own[r, t] = model.draw(names[w], _stream(int(seed[t]), r, int(pos[t])), set(segs[w]), float(others[w]))
         return c, p
 
     rounds = []  # (choice, log-probability, bound of the rest at each token), whole arrays
@@ -351,7 +376,7 @@ def sample(model: Pieces, texts: list[str], seeds: np.ndarray, k: int) -> list[l
                         break
                 else:
                     if unlisted > 0:
-                        logp[t], own[r, t] = model.draw(names[w], uni, dict.fromkeys(segs[w], 0.0) | taken, unlisted)
+                        logp[t], own[r, t] = model.draw(names[w], uni, {*segs[w], *taken}, unlisted)
                         choice[t] = LISTED
                     else:
                         choice[t], logp[t] = left[-1][2], left[-1][0]
@@ -430,7 +455,7 @@ def _sample_batches(path: str, k: int, alpha: float, seed: int, with_ids: bool):
     return run
 
 
-def encoded(docs: DataFrame, model: str, samples: int = 3, alpha: float = 1.0, seed: int = 1, with_ids: bool = False) -> DataFrame:
+def encoded(docs: DataFrame, model: str, samples: int = 2, alpha: float = 1.0, seed: int = 1, with_ids: bool = False) -> DataFrame:
     """One row per row of docs and sample: doc_id, sample (0 is the best), n_pieces, ids_crc32 (of 32-bit ids), log_prob,
     perturbed, log_inclusion (log of the probability to be in the sample), and with_ids the ids.
 

@@ -44,7 +44,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), samples=2)
+    return pieces.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -77,6 +77,28 @@ def test_all_segmentations_come_once(model):
     assert g == sorted(g, reverse=True)
 
 
+def test_draws_follow_the_law_of_what_is_not_left_out(model):
+    word = "▁hey"
+    law = {np.array(k, np.uint32).tobytes(): v for k, v in all_segmentations(model, word).items()}
+    best = sorted(law, key=law.get, reverse=True)
+    for n in (1, 4, len(best) - 2, len(best) - 1):
+        without = set(best[:n])
+        rest = sum(math.exp(law[k]) for k in best[n:])
+        got = Counter()
+        for i in range(4000):
+            # Drawn from the lattice less what is left out, whether that is common or not.
+            p, ids = model.draw(word, P._stream(i, n), without, 0.0)
+            assert math.isclose(p, law[ids], abs_tol=1e-9)
+            got[ids] += 1
+        assert not set(got) & set(without)
+        for k in best[n:]:
+            want = math.exp(law[k]) / rest
+            assert abs(got[k] / 4000 - want) < 5 * math.sqrt(want / 4000) + 1e-3
+    # A long word, of which only a listed few are left out.
+    _, segs, others = model.listed("▁" + "internationalisation" * 200)
+    assert others > 0.5 and all(model.draw("▁" + "internationalisation" * 200, P._stream(1), set(segs), x)[1] not in segs for x in (others, 0.0))
+
+
 def test_round_trip_and_edges(spark):
     texts = [(1, "Hello  world,\n\nnaïve 😀 ▒ test "), (2, None), (3, ""), (4, "x" * 30_000), (5, " lead"), (6, "the cat sat " * 2_000), (None, "null key"), (1, "Hello  world,\n\nnaïve 😀 ▒ test ")]
     df = spark.createDataFrame([(i, t, 0, 0) for i, t in texts], SCHEMA).repartition(3)
