@@ -1,21 +1,27 @@
 """Removal of long strings that recur anywhere in the corpus, by a difference cover and blockwise suffix buckets.
 
 A perfect difference cover D modulo v has, for any two positions, exactly one shift below v that takes both into D. If equal
-strings of `length` bytes start at i and j, some cover samples i + s and j + s therefore agree on what is left of the strings,
-length - v + 1 bytes or more. The names of the samples (hashes of that context: equal names for equal contexts, all that
-ranks are needed for here) are computed first, for 6 % of all positions. Only starts in front of a sample whose name recurs
-can recur themselves. Those suffixes are then dealt into buckets by the hash of their first `length` bytes and worked off
-one block of buckets at a time, so that memory and disk hold one block. Inside a bucket they are sorted, by a spilling sort;
+strings of `length` units start at i and j, some cover samples i + s and j + s therefore agree on what is left of the strings,
+length - v + 1 units or more. The names of the samples are computed first, for 6 % of all positions of bytes. Only starts in front
+of a sample whose name recurs can recur themselves. Those suffixes are then dealt into buckets by the name of their first
+`length` units, one block of buckets after the other, so that memory and disk hold one block; a bucket is sorted at a time, and
 equal neighbours at different places recur.
 
-Names and bucket keys are polynomial hashes of 64 bits with a check of 32 bits more from another polynomial.
+Where the usual construction orders suffixes and settles long ties by the ranks of their samples, names do it here: a name is a
+polynomial hash of 64 bits with a check of 32 bits more from another polynomial. Only equality is asked for, and a rank that tells
+of equal strings at every depth would have to travel with each suffix 18 times, once for each sample in reach.
+
+Units are bytes for what is removed. Passages of words are found in the same passes, with words as units.
+
+Rows travel packed: a task gathers samples or starts, sorts them, and sends one parcel to each bucket. Of places with one name in
+a parcel one stands for all, and the others are sent on as found, so that a string that very many texts share makes no long bucket.
 """
 
 from __future__ import annotations
 
 import gc
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -29,10 +35,17 @@ from quayside.llm.tables import keyed_texts
 from quayside.session import cut
 
 LENGTH = 400
+#: Words of a passage that counts if it stands in another text too.
+WORDS = 51
 BLOCKS = 6
 #: Texts to look at are sent to all tasks as a list of keys up to so many, and joined by a shuffle beyond.
 LISTED = 2_000_000
 CHUNK = 1 << 20
+#: Places that a task gathers before it sends them.
+GATHER = 2_000_000
+#: Bytes of texts for each bucket, and texts for each parcel of what was found.
+BUCKET_BYTES = 8 << 20
+TEXTS = 4096
 
 
 @lru_cache
@@ -57,10 +70,11 @@ def difference_cover(length: int) -> tuple[int, np.ndarray]:
 
 
 class Rolling:
-    """Hashes of all windows of a buffer from prefix sums; both polynomials are over 64-bit integers with random byte values."""
+    """Names of all windows of a sequence from prefix sums; both polynomials are over 64-bit integers."""
 
     def __init__(self):
         r = np.random.default_rng(20240601)
+        #: Values of bytes; words have their hash.
         self.values = [r.integers(1, 2**63, 256).astype(np.uint64) for _ in range(2)]
         self.bases = [int(r.integers(2**40, 2**62)) * 4 + 1 + 2 * k for k in range(2)]
         self.bases = [b | 1 for b in self.bases]
@@ -76,98 +90,147 @@ class Rolling:
                     x[0] = 1
                     to.append(np.multiply.accumulate(x))
 
-    def load(self, data: np.ndarray) -> None:
-        n = len(data)
-        self._grow(n)
+    def load(self, units: tuple[np.ndarray, np.ndarray]) -> None:
+        """Values of the units in both polynomials."""
+        n = len(units[0])
+        self._grow(n + 1)
         self.sums = []
-        for values, up in zip(self.values, self.up, strict=True):
+        for values, up in zip(units, self.up, strict=True):
             s = np.zeros(n + 1, np.uint64)
-            np.cumsum(values[data] * up[:n], out=s[1:])
+            np.cumsum(values * up[:n], out=s[1:])
             self.sums.append(s)
 
     def at(self, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """(64-bit hash, 32-bit check) of the windows of length bytes at starts."""
+        """(64-bit name, 32-bit check) of the windows of length units at starts."""
         a, b = ((s[starts + length] - s[starts]) * down[starts] for s, down in zip(self.sums, self.down, strict=True))
-        return mix(a), mix(b) >> np.uint64(32)
+        return mix(a), (mix(b) >> np.uint64(32)).astype(np.uint32)
 
 
-ROWS = "key long, d long, at long"
-NAMES = ["key", "d", "at"]
+#: A place: the 64-bit name of its string, the check, the key of its text, and the position; -1 - position for words.
+PLACE = (("key", np.uint64), ("check", np.uint32), ("d", np.int64), ("pos", np.int32))
+Places = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
-def _batch(key: np.ndarray, d: np.ndarray, at: np.ndarray, names=NAMES) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64)) for x in (key, d, at)], names=names)
+def packed(x: tuple[np.ndarray, ...], lo: int, hi: int) -> bytes:
+    return b"".join(c[lo:hi].tobytes() for c in x)
 
 
-def _emit(key: np.ndarray, check: np.ndarray, d: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
-    """Rows for the buckets: at is position and check. Of places with one hash in this chunk, one stands for all in the
-    bucket and each is sent on as found, under a key of its own, so that a string that very many texts share makes no long
-    bucket. A found row has a negative at."""
-    order = np.argsort(key, kind="stable")
-    k = key[order]
-    same = k[1:] == k[:-1]
-    first, twice = np.r_[True, ~same], np.r_[False, same] | np.r_[same, False]
-    lead, many = order[first], order[twice]
-    at = (pos.astype(np.int64) << 32) | check.astype(np.int64)
-    with np.errstate(over="ignore"):
-        own = mix(d[many].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + pos[many].astype(np.uint64))
-    return _batch(np.concatenate([key[lead], own]), np.concatenate([d[lead], d[many]]), np.concatenate([at[lead], -1 - at[many]]))
+def unpacked(parcels: list[bytes], kinds: tuple[type, ...]) -> tuple[np.ndarray, ...]:
+    wide = sum(np.dtype(k).itemsize for k in kinds)
+    parts: list[list[np.ndarray]] = [[np.zeros(0, k)] for k in kinds]
+    for p in parcels:
+        n, at = len(p) // wide, 0
+        for to, k in zip(parts, kinds, strict=True):
+            to.append(np.frombuffer(p, k, n, at))
+            at += n * np.dtype(k).itemsize
+    return tuple(map(np.concatenate, parts))
 
 
-def _sample_batches(length: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, cover = difference_cover(length)
-        context, roll, seen = length - v + 1, Rolling(), set()
-        grid = np.zeros(0, np.int64)
-        for b in batches:
-            keys = b.column("d").to_numpy()
-            for c in T.chunks(b.column("text"), CHUNK):
-                sizes = np.diff(c.offsets)
-                todo = [i for i in range(c.n) if sizes[i] >= length and not (keys[c.lo + i] in seen or seen.add(keys[c.lo + i]))]
-                if not todo:
-                    continue
-                if not len(grid) or grid[-1] < sizes.max():
-                    grid = (np.arange(0, int(sizes.max()) + v, v)[:, None] + cover).ravel()
-                parts = [grid[: np.searchsorted(grid, sizes[i] - context, "right")] for i in todo]
-                pos = np.concatenate(parts)
-                n = [len(p) for p in parts]
-                roll.load(c.data[:-8])
-                yield _emit(*roll.at(pos + np.repeat(c.offsets[todo], n), context), np.repeat(keys[c.lo + np.array(todo)], n), pos)
+def runs(x: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(first, end) of each run of equal values."""
+    edge = np.flatnonzero(np.r_[True, x[1:] != x[:-1], True]) if len(x) else np.zeros(1, np.int64)
+    return zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)
 
-    return run
 
-
-def _recur_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key, with the check next: (d, pos) of those whose hash and check occur at two places."""
-    names = ["d", "pos"]
-    last: tuple | None = None  # the row before, and whether it was sent
+def recur(x: Places) -> tuple[Places, np.ndarray, np.ndarray]:
+    """Places sorted by string; whether each one's string recurs, for words in another text; whether it is the first of its string."""
+    key, check, d, pos = x
+    order = np.argsort(key, kind="stable")
+    k = key[order]
+    tied = np.flatnonzero(k[1:] == k[:-1])
+    if len(tied):
+        # Only places with equal names need be put in order of the rest.
+        some = np.zeros(len(k), bool)
+        some[tied] = some[tied + 1] = True
+        at = np.flatnonzero(some)
+        own = order[at]
+        order[at] = own[np.lexsort((pos[own], d[own], check[own], key[own]))]
+    key, check, d, pos = (c[order] for c in x)
+    same = (key[1:] == key[:-1]) & (check[1:] == check[:-1])
+    first = np.r_[True, ~same] if len(key) else np.zeros(0, bool)
+    number = np.cumsum(first) - 1
+    # A string recurs if two places of it differ: in text, or for bytes in position.
+    differ = same & ((d[1:] != d[:-1]) | ((pos[1:] >= 0) & (pos[1:] != pos[:-1])))
+    many = np.zeros(len(key), bool)
+    many[number[1:][differ]] = True
+    return (key, check, d, pos), many[number], first
+
+
+PARCEL = "bucket int, found boolean, data binary"
+FOUND = "parcel int, data binary"
+
+
+def _parcels(x: Places, buckets: int) -> pa.RecordBatch:
+    x, again, first = recur(x)
+    key, _, d, pos = x
+    # Texts of words are told apart only where they are, so all of one text go on if no other text has the string here.
+    sent = first | (~again & (np.r_[False, (d[1:] != d[:-1]) | (pos[1:] != pos[:-1])] if len(d) else first))
+    out: list[tuple[int, bool, bytes]] = []
+    send = tuple(c[sent] for c in x)
+    bucket = ((send[0] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    out += [(int(bucket[lo]), False, packed(send, lo, hi)) for lo, hi in runs(bucket)]
+    # What is found needs no bucket of its string: it goes by text.
+    to = (mix(d[again].view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(to, kind="stable")
+    known = (d[again][order], pos[again][order])
+    out += [(int(to[order[lo]]), True, packed(known, lo, hi)) for lo, hi in runs(to[order])]
+    columns = list(zip(*out, strict=True)) or [[]] * 3
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.int32(), pa.bool_(), pa.binary()), strict=True)], names=["bucket", "found", "data"])
+
+
+def _sent(places: Iterator[Places], buckets: int) -> Iterator[pa.RecordBatch]:
+    waiting, size = [], 0
+    for x in places:
+        waiting.append(x)
+        size += len(x[0])
+        if size > GATHER:
+            yield _parcels(tuple(map(np.concatenate, zip(*waiting, strict=True))), buckets)
+            waiting, size = [], 0
+    if waiting:
+        yield _parcels(tuple(map(np.concatenate, zip(*waiting, strict=True))), buckets)
+
+
+def _named(roll: Rolling, keys: np.ndarray, offsets: np.ndarray, parts: list[np.ndarray], length: int, words: bool) -> Places:
+    """Places of the windows at positions `parts` of each text."""
+    n = [len(p) for p in parts]
+    pos = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    key, check = roll.at(pos + np.repeat(offsets, n), length)
+    if words:
+        key = mix(key ^ np.uint64(0x5BF03635D1A2B3C7))
+    return key, check, np.repeat(keys, n), (-1 - pos if words else pos).astype(np.int32)
+
+
+def _units(c: T.Chunk, roll: Rolling, words: bool) -> np.ndarray:
+    """Loads the units of a chunk; returns where each text begins among them, and the end."""
+    if not words:
+        data = c.data[:-8]
+        roll.load((roll.values[0][data], roll.values[1][data]))
+        return c.offsets
+    w = T.words(c)
+    h = T.word_hashes(w)
+    roll.load((h, mix(h ^ np.uint64(0x9E3779B97F4A7C15))))
+    return w.first
+
+
+def _sample_places(batches: Iterator[pa.RecordBatch], lengths: tuple[int, int]) -> Iterator[Places]:
+    roll = Rolling()
+    grids = [np.zeros(0, np.int64)] * 2
     for b in batches:
-        key, d, at = (b.column(i).to_numpy() for i in range(3))
-        known = at < 0
-        where = np.where(known, -1 - at, at)
-        yield pa.RecordBatch.from_arrays([pa.array(d[known]), pa.array(where[known] >> 32)], names=names)
-        key, d, where = key[~known], d[~known], where[~known]
-        if not len(key):
-            continue
-        if last is not None:
-            key, d, where = np.r_[last[0], key], np.r_[last[1], d], np.r_[last[2], where]
-        check, pos = where & 0xFFFFFFFF, where >> 32
-        order = np.lexsort((pos, d, check, key))
-        key, d, check, pos = key[order], d[order], check[order], pos[order]
-        equal = (key[1:] == key[:-1]) & (check[1:] == check[:-1]) & ((d[1:] != d[:-1]) | (pos[1:] != pos[:-1]))
-        hit = np.r_[False, equal] | np.r_[equal, False]
-        yield pa.RecordBatch.from_arrays([pa.array(d[hit]), pa.array(pos[hit])], names=names)
-        tail = key == key[-1]
-        # A run that goes on in the next batch is told by one place of each check; two of them if both may be the same place.
-        keep = np.flatnonzero(tail)
-        keep = keep[np.r_[True, check[keep][1:] != check[keep][:-1]] | np.r_[check[keep][1:] != check[keep][:-1], True]]
-        last = (key[keep], d[keep], (pos[keep] << 32) | check[keep])
-
-
-def recurring(rows: DataFrame) -> DataFrame:
-    """(d, pos), perhaps repeated, of all rows whose string occurs at two or more places."""
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(n, "key").sortWithinPartitions("key").mapInArrow(_recur_batches, "d long, pos long")
+        keys = b.column("d").to_numpy()
+        for c in T.chunks(b.column("text"), CHUNK):
+            own = keys[c.lo : c.hi]
+            # A copy in the same chunk is the same text.
+            once = np.zeros(c.n, bool)
+            once[np.unique(own, return_index=True)[1]] = True
+            for words, length in enumerate(lengths):
+                v, cover = difference_cover(length)
+                first = _units(c, roll, bool(words))
+                sizes = np.diff(first)
+                if not len(grids[words]) or grids[words][-1] < sizes.max():
+                    grids[words] = (np.arange(0, int(sizes.max()) + v, v)[:, None] + cover).ravel()
+                todo = np.flatnonzero(once & (sizes >= length))
+                parts = [grids[words][: np.searchsorted(grids[words], sizes[i] - (length - v + 1), "right")] for i in todo]
+                yield _named(roll, own[todo], first[todo], parts, length - v + 1, bool(words))
 
 
 def _starts(samples: np.ndarray, size: int, length: int, v: int) -> np.ndarray:
@@ -179,42 +242,84 @@ def _starts(samples: np.ndarray, size: int, length: int, v: int) -> np.ndarray:
     return np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
 
 
-def _start_batches(length: int, block: int, blocks: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, _ = difference_cover(length)
-        roll = Rolling()
-        for b in batches:
-            keys, samples = b.column("d").to_numpy(), b.column("samples")
-            for c in T.chunks(b.column("text"), CHUNK):
-                sizes = np.diff(c.offsets)
-                parts = [_starts(samples[c.lo + i].values.to_numpy(), int(sizes[i]), length, v) for i in range(c.n)]
-                n = [len(p) for p in parts]
-                pos = np.concatenate(parts)
-                roll.load(c.data[:-8])
-                key, check = roll.at(pos + np.repeat(c.offsets[:-1], n), length)
-                mine = key % np.uint64(blocks) == np.uint64(block)
-                yield _emit(key[mine], check[mine], np.repeat(keys[c.lo : c.hi], n)[mine], pos[mine])
+def _start_places(batches: Iterator[pa.RecordBatch], lengths: tuple[int, int], block: int, blocks: int) -> Iterator[Places]:
+    roll = Rolling()
+    for b in batches:
+        keys, samples = b.column("d").to_numpy(), b.column("samples")
+        for c in T.chunks(b.column("text"), CHUNK):
+            own = [samples[c.lo + i].values.to_numpy() for i in range(c.n)]
+            for words, length in enumerate(lengths):
+                v, _ = difference_cover(length)
+                mine = [-1 - s[s < 0] if words else s[s >= 0] for s in own]
+                todo = [i for i, s in enumerate(mine) if len(s)]
+                if not todo:
+                    continue
+                first = _units(c, roll, bool(words))
+                sizes = np.diff(first)
+                parts = [_starts(mine[i].astype(np.int64), int(sizes[i]), length, v) for i in todo]
+                x = _named(roll, keys[c.lo + np.array(todo)], first[todo], parts, length, bool(words))
+                here = x[0] % np.uint64(blocks) == np.uint64(block)
+                yield tuple(a[here] for a in x)
+
+
+def _bucket(parcels: int) -> Callable[[pa.Table], pa.Table]:
+    """One bucket: its places are sorted, and those whose string recurs go on by text."""
+
+    def run(t: pa.Table) -> pa.Table:
+        known = t["found"].to_pylist()
+        data = t["data"].to_pylist()
+        (_, _, d, pos), again, _ = recur(unpacked([x for x, k in zip(data, known, strict=True) if not k], tuple(k for _, k in PLACE)))
+        d0, pos0 = unpacked([x for x, k in zip(data, known, strict=True) if k], (np.int64, np.int32))
+        d, pos = np.r_[d[again], d0], np.r_[pos[again], pos0]
+        to = (mix(d.view(np.uint64)) % np.uint64(parcels)).astype(np.int64)
+        order = np.argsort(to, kind="stable")
+        to, x = to[order], (d[order], pos[order])
+        out = [(int(to[lo]), packed(x, lo, hi)) for lo, hi in runs(to)]
+        columns = list(zip(*out, strict=True)) or [[]] * 2
+        return pa.table([pa.array(list(c), k) for c, k in zip(columns, (pa.int32(), pa.binary()), strict=True)], names=["parcel", "data"])
 
     return run
 
 
-def _cut_batches(length: int):
+def _lists(t: pa.Table) -> pa.Table:
+    """(d, pos) of a parcel: a row for each text with its places, each once, words first."""
+    d, pos = unpacked(t["data"].to_pylist(), (np.int64, np.int32))
+    order = np.lexsort((pos, d))
+    d, pos = d[order], pos[order]
+    new = np.r_[True, (d[1:] != d[:-1]) | (pos[1:] != pos[:-1])] if len(d) else np.zeros(0, bool)
+    d, pos = d[new], pos[new]
+    first = [lo for lo, _ in runs(d)]
+    lists = pa.ListArray.from_arrays(pa.array([*first, len(d)], pa.int32()), pa.array(pos))
+    return pa.table([pa.array(d[first]), lists], names=["d", "pos"])
+
+
+def recurring(places: DataFrame, parcels: int) -> DataFrame:
+    """(d, pos) of all places, sent as parcels, whose string occurs at another place too."""
+    found = places.groupBy("bucket").applyInArrow(_bucket(parcels), FOUND)
+    return found.groupBy("parcel").applyInArrow(_lists, "d long, pos array<int>")
+
+
+def _cut_batches(lengths: tuple[int, int]):
+    def spans(p: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        heads = np.flatnonzero(np.r_[True, np.diff(p) > length]) if len(p) else np.zeros(0, np.int64)
+        return p[heads], p[np.r_[heads[1:], len(p)] - 1] + length if len(p) else p
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
             for text, lists in zip(b.column("text").to_pylist(), b.column("found"), strict=True):
                 data = text.encode()
-                p = np.unique(lists.values.flatten().to_numpy()) if lists.is_valid else np.zeros(0, np.int64)
-                heads = np.flatnonzero(np.r_[True, np.diff(p) > length]) if len(p) else np.zeros(0, np.int64)
-                lo, hi = p[heads], p[np.r_[heads[1:], len(p)] - 1] + length if len(p) else p
+                p = np.unique(lists.values.flatten().to_numpy()).astype(np.int64) if lists.is_valid else np.zeros(0, np.int64)
+                lo, hi = spans(p[p >= 0], lengths[0])
                 kept, at = hashlib.sha256(), 0
                 for x, y in zip(lo.tolist(), hi.tolist(), strict=True):
                     kept.update(data[at:x])
                     at = y
                 kept.update(data[at:])
-                rows.append((hashlib.sha256(data).digest(), int((hi - lo).sum()), len(lo), kept.hexdigest()))
-            columns = list(zip(*rows, strict=True)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.int64(), pa.int64(), pa.string()), strict=True)], names=["digest", "removed", "spans", "kept_sha"])
+                rows.append((hashlib.sha256(data).digest(), int((hi - lo).sum()), len(lo), kept.hexdigest(), len(spans(np.sort(-1 - p[p < 0]), lengths[1])[0])))
+            columns = list(zip(*rows, strict=True)) or [[]] * 5
+            types = (pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names=["digest", "removed", "spans", "kept_sha", "passages"])
 
     return run
 
@@ -225,22 +330,24 @@ def release(spark) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, blocks: int = BLOCKS) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for each row of docs.
+def without_repeats(docs: DataFrame, length: int = LENGTH, blocks: int = BLOCKS, words: int = WORDS) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_passages for each row of docs.
 
-    Null texts count as empty. Rows with equal texts of length bytes or more lose everything; shorter texts lose nothing.
-    Repeated rows count as copies of each other; a null doc_id stays null; an empty table gives an empty result; other
-    columns are ignored, whatever their names.
+    n_passages counts the maximal passages of `words` words or more that stand in a different text too, whatever their length in
+    bytes; they are not removed unless they hold a string of `length` bytes. Null texts count as empty. Rows with equal texts of
+    length bytes or more lose everything, and their text is one passage; shorter texts lose nothing. Repeated rows count as copies of
+    each other; a null doc_id stays null; an empty table gives an empty result; other columns are ignored, whatever their names.
     """
-    spark = docs.sparkSession
+    spark, lengths = docs.sparkSession, (length, words)
     hexed = F.sha2("text", 256)
     own = keyed_texts(docs).withColumns({"h": hexed, "n_bytes": F.octet_length("text").cast("long")})
     hashed = cut(own.select("doc_id", "n_bytes", F.unhex("h").alias("digest")))
+    n, size = hashed.agg(F.count("*"), F.coalesce(F.sum("n_bytes"), F.lit(0))).first()
+    least = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets, parcels = max(least, size // BUCKET_BYTES), max(least, n // TEXTS)
     copies = hashed.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("digest").alias("g"))
-    texts = own.filter(F.col("n_bytes") >= length).select(F.conv(F.substring("h", 1, 16), 16, -10).cast("long").alias("d"), "text")
-    samples = cut(
-        recurring(texts.mapInArrow(_sample_batches(length), ROWS)).groupBy("d").agg(F.collect_set(F.col("pos").cast("int")).alias("samples"))
-    )
+    texts = own.filter(F.col("n_bytes") >= min(length, 2 * words - 1)).select(F.conv(F.substring("h", 1, 16), 16, -10).cast("long").alias("d"), "text")
+    samples = cut(recurring(texts.mapInArrow(lambda b: _sent(_sample_places(b, lengths), buckets), PARCEL), parcels).withColumnRenamed("pos", "samples"))
     release(spark)
     listed = samples.select(F.col("d").alias("k"))
     listed = F.broadcast(listed) if samples.count() <= LISTED else listed
@@ -249,15 +356,15 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, blocks: int = BLOCKS)
     release(spark)
     parts = []
     for block in range(blocks):
-        rows = suspects.select("d", "text", "samples").mapInArrow(_start_batches(length, block, blocks), ROWS)
-        parts.append(cut(recurring(rows).groupBy("d").agg(F.collect_list(F.col("pos").cast("int")).alias("p"))))
-        del rows
+        places = suspects.mapInArrow(lambda b, i=block: _sent(_start_places(b, lengths, i, blocks), buckets), PARCEL)
+        parts.append(cut(recurring(places, parcels)))
+        del places
         release(spark)
     found = parts[0]
     for p in parts[1:]:
         found = found.unionAll(p)
-    found = found.groupBy(F.col("d").alias("k")).agg(F.collect_list("p").alias("found"))
-    result = suspects.select("d", "text").join(found, F.col("d") == F.col("k")).select("text", "found").mapInArrow(_cut_batches(length), "digest binary, removed long, spans long, kept_sha string")
+    found = found.groupBy(F.col("d").alias("k")).agg(F.collect_list("pos").alias("found"))
+    result = suspects.select("d", "text").join(found, F.col("d") == F.col("k")).select("text", "found").mapInArrow(_cut_batches(lengths), "digest binary, removed long, spans long, kept_sha string, passages long")
     empty = hashlib.sha256(b"").hexdigest()
     whole = F.col("g").isNotNull() & (F.col("n_bytes") >= length)
     return (
@@ -266,5 +373,6 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, blocks: int = BLOCKS)
             "doc_id", "n_bytes", F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("removed", F.lit(0))).alias("n_removed"),
             F.when(whole, 1).otherwise(F.coalesce("spans", F.lit(0))).cast("long").alias("n_spans"),
             F.when(whole, empty).otherwise(F.coalesce("kept_sha", F.lower(F.hex("digest")))).alias("kept_sha256"),
+            F.when(whole, 1).otherwise(F.coalesce("passages", F.lit(0))).cast("long").alias("n_passages"),
         )
     )

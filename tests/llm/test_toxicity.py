@@ -61,3 +61,78 @@ def test_training_never_sees_the_held_out_fold(spark):
 
     seen = X.training_sample(spark.createDataFrame([(i, str(i), 0, 0) for i, *_ in docs], DOCS), spark.createDataFrame(labels, LABELS), X.Params()).collect()
     assert n == 50 and all(zlib.crc32(r.text.encode()) % 4 != 2 for r in seen)
+
+
+def brute_features(model, text):
+    """By trying every entry at every place."""
+    import math
+    from collections import Counter
+
+    t = X.fold(text)
+    word = lambda i: 0 <= i < len(t) and (t[i].isalnum() or t[i] == "_")
+    at, void = {}, []
+    for s in range(len(t)):
+        if word(s - 1):
+            continue
+        for kind, entries in enumerate((model.words, model.stems, model.exceptions)):
+            for x in entries:
+                if t.startswith(x, s):
+                    e = s + len(x)
+                    if kind == 2 and not word(e):
+                        void.append((s, e))
+                    elif kind == (1 if word(e) else 0):
+                        at[s] = max(at.get(s, (0, "", 0.0)), (e, x, entries[x]))
+    hits = [(x, w) for s, (e, x, w) in at.items() if not any(a <= s and e <= b for a, b in void)]
+    if not hits:
+        return 0.0, 0.0
+    total = sum(w * (1 + math.log(n)) for (_, w), n in Counter(hits).items())
+    return math.log1p(total), total / math.sqrt(10 + t.count(" "))
+
+
+def test_matching_equals_brute_force():
+    r = random.Random(12)
+    m = X.Model({"ab": 2.0, "abc": 1.0, "c d": 0.5, "é": 3.0}, {"ab": 1.5, "abcd": 2.5, "d": 0.2}, ("ab c", "abc ab"))
+    matcher = X.Matcher(m)
+    for _ in range(600):
+        text = "".join(r.choice(["a", "b", "c", "d", "A", "4", "é", "а", " ", " ", "_", ".", "​"]) for _ in range(r.randrange(40)))
+        got, want = matcher.features(X.fold(text)), brute_features(m, text)
+        assert all(abs(a - b) < 1e-12 for a, b in zip(got, want)), text
+
+
+def test_lexicon_equals_brute_force(spark):
+    """Entries, weights and scores of a whole run from counts taken with sets and loops."""
+    import math
+    import zlib
+    from collections import Counter
+
+    docs, labels = corpus(500)
+    p = X.Params(min_share=0.3, min_g2=8.0, exception_docs=10**9)
+    truth = {i: t for i, _, t in labels if zlib.crc32(str(i).encode()) % 4 != 2}
+    count = {0: Counter(), 1: Counter()}
+    for i, text, *_ in docs:
+        if i in truth:
+            found = set(X.WORD.findall(X.fold(text)))
+            count[truth[i]].update({"=" + w for w in found} | {"^" + w[:n] for w in found for n in p.stems if len(w) > n})
+    n1, n0 = sum(truth.values()), len(truth) - sum(truth.values())
+    share = n1 / (n0 + n1)
+    words = {}
+    for k in count[1]:
+        t, c = count[1][k], count[0][k]
+        g2 = 2 * (t * math.log(t / ((t + c) * share)) + (c * math.log(c / ((t + c) * (1 - share))) if c else 0))
+        if k[0] == "=" and t >= p.min_toxic_docs and t / (t + c) >= p.min_share and g2 >= p.min_g2:
+            words[k[1:]] = math.log((t + 0.5) / (n1 + 1)) - math.log((c + 0.5) / (n0 + 1))
+    d, lab = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)
+    model = X.fit(d, lab, p)
+    assert words and model.words.keys() == words.keys() and all(abs(model.words[k] - words[k]) < 1e-9 for k in words)
+    b0, b1, b2 = model.coef
+    text = {i: t for i, t, *_ in docs}
+    for r in X.scored(d, lab, p).collect():
+        x, y = brute_features(model, text[r.doc_id])
+        assert abs(r.score - 1 / (1 + math.exp(-(b0 + b1 * x + b2 * y)))) < 1e-9 and r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+
+
+def test_keep_clean_with_clashing_columns(spark):
+    docs, labels = corpus(300)
+    d = spark.createDataFrame([(i, t, 1, 2, None, 3.0) for i, t, *_ in docs] + [(None, None, None, None, "n", None)], "doc_id long, text string, toxic int, x int, id_ string, y double")
+    kept = X.keep_clean(d, spark.createDataFrame(labels, LABELS))
+    assert kept.schema == d.schema and 200 < kept.count() < 301 and kept.filter("id_ = 'n'").count() == 1
