@@ -44,7 +44,7 @@ CHUNK = 1 << 20
 #: Places that a task gathers before it sends them.
 GATHER = 2_000_000
 #: Bytes of texts for each bucket, and texts for each parcel of what was found.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 16 << 20
 TEXTS = 4096
 
 
@@ -126,6 +126,22 @@ def unpacked(parcels: list[bytes], kinds: tuple[type, ...]) -> tuple[np.ndarray,
     return tuple(map(np.concatenate, parts))
 
 
+def encoded(pos: np.ndarray) -> bytes:
+    """Sorted positions: their number, the first, and a byte for each distance to the next; from 255 on the distance stands behind."""
+    gap = np.diff(pos.astype(np.int64))
+    far = gap >= 255
+    return np.array([len(pos), *pos[:1]], np.int32).tobytes() + np.where(far, 255, gap).astype(np.uint8).tobytes() + gap[far].astype(np.uint32).tobytes()
+
+
+def decoded(data: bytes) -> np.ndarray:
+    n, *first = np.frombuffer(data, np.int32, 2 if len(data) > 4 else 1).tolist()
+    if not n:
+        return np.zeros(0, np.int64)
+    gap = np.frombuffer(data, np.uint8, n - 1, 8).astype(np.int64)
+    gap[gap == 255] = np.frombuffer(data, np.uint32, -1, 8 + n - 1)
+    return np.cumsum(np.r_[first[0], gap])
+
+
 def runs(x: np.ndarray) -> Iterator[tuple[int, int]]:
     """(first, end) of each run of equal values."""
     edge = np.flatnonzero(np.r_[True, x[1:] != x[:-1], True]) if len(x) else np.zeros(1, np.int64)
@@ -169,11 +185,9 @@ def _parcels(x: Places, buckets: int) -> pa.RecordBatch:
     send = tuple(c[sent] for c in x)
     bucket = ((send[0] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
     out += [(int(bucket[lo]), False, packed(send, lo, hi)) for lo, hi in runs(bucket)]
-    # What is found needs no bucket of its string: it goes by text.
-    to = (mix(d[again].view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(to, kind="stable")
-    known = (d[again][order], pos[again][order])
-    out += [(int(to[order[lo]]), True, packed(known, lo, hi)) for lo, hi in runs(to[order])]
+    # What is found needs no bucket of its string: it goes to any.
+    known = (d[again], pos[again])
+    out += [(int(mix(key[:1] + np.uint64(1))[0] % np.uint64(buckets)), True, packed(known, 0, len(known[0])))] if len(known[0]) else []
     columns = list(zip(*out, strict=True)) or [[]] * 3
     return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.int32(), pa.bool_(), pa.binary()), strict=True)], names=["bucket", "found", "data"])
 
@@ -247,7 +261,7 @@ def _start_places(batches: Iterator[pa.RecordBatch], lengths: tuple[int, int], b
     for b in batches:
         keys, samples = b.column("d").to_numpy(), b.column("samples")
         for c in T.chunks(b.column("text"), CHUNK):
-            own = [samples[c.lo + i].values.to_numpy() for i in range(c.n)]
+            own = [decoded(samples[c.lo + i].as_py()) for i in range(c.n)]
             for words, length in enumerate(lengths):
                 v, _ = difference_cover(length)
                 mine = [-1 - s[s < 0] if words else s[s >= 0] for s in own]
@@ -256,7 +270,7 @@ def _start_places(batches: Iterator[pa.RecordBatch], lengths: tuple[int, int], b
                     continue
                 first = _units(c, roll, bool(words))
                 sizes = np.diff(first)
-                parts = [_starts(mine[i].astype(np.int64), int(sizes[i]), length, v) for i in todo]
+                parts = [_starts(mine[i], int(sizes[i]), length, v) for i in todo]
                 x = _named(roll, keys[c.lo + np.array(todo)], first[todo], parts, length, bool(words))
                 here = x[0] % np.uint64(blocks) == np.uint64(block)
                 yield tuple(a[here] for a in x)
@@ -282,21 +296,20 @@ def _bucket(parcels: int) -> Callable[[pa.Table], pa.Table]:
 
 
 def _lists(t: pa.Table) -> pa.Table:
-    """(d, pos) of a parcel: a row for each text with its places, each once, words first."""
+    """(d, pos) of a parcel: a row for each text with its places, each once, words first, encoded."""
     d, pos = unpacked(t["data"].to_pylist(), (np.int64, np.int32))
     order = np.lexsort((pos, d))
     d, pos = d[order], pos[order]
     new = np.r_[True, (d[1:] != d[:-1]) | (pos[1:] != pos[:-1])] if len(d) else np.zeros(0, bool)
     d, pos = d[new], pos[new]
-    first = [lo for lo, _ in runs(d)]
-    lists = pa.ListArray.from_arrays(pa.array([*first, len(d)], pa.int32()), pa.array(pos))
-    return pa.table([pa.array(d[first]), lists], names=["d", "pos"])
+    own = list(runs(d))
+    return pa.table([pa.array(d[[lo for lo, _ in own]]), pa.array([encoded(pos[lo:hi]) for lo, hi in own], pa.binary())], names=["d", "pos"])
 
 
 def recurring(places: DataFrame, parcels: int) -> DataFrame:
     """(d, pos) of all places, sent as parcels, whose string occurs at another place too."""
     found = places.groupBy("bucket").applyInArrow(_bucket(parcels), FOUND)
-    return found.groupBy("parcel").applyInArrow(_lists, "d long, pos array<int>")
+    return found.groupBy("parcel").applyInArrow(_lists, "d long, pos binary")
 
 
 def _cut_batches(lengths: tuple[int, int]):
@@ -307,9 +320,9 @@ def _cut_batches(lengths: tuple[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for text, lists in zip(b.column("text").to_pylist(), b.column("found"), strict=True):
+            for text, lists in zip(b.column("text").to_pylist(), b.column("found").to_pylist(), strict=True):
                 data = text.encode()
-                p = np.unique(lists.values.flatten().to_numpy()).astype(np.int64) if lists.is_valid else np.zeros(0, np.int64)
+                p = np.unique(np.concatenate([decoded(x) for x in lists]))
                 lo, hi = spans(p[p >= 0], lengths[0])
                 kept, at = hashlib.sha256(), 0
                 for x, y in zip(lo.tolist(), hi.tolist(), strict=True):
@@ -343,8 +356,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, blocks: int = BLOCKS,
     own = keyed_texts(docs).withColumns({"h": hexed, "n_bytes": F.octet_length("text").cast("long")})
     hashed = cut(own.select("doc_id", "n_bytes", F.unhex("h").alias("digest")))
     n, size = hashed.agg(F.count("*"), F.coalesce(F.sum("n_bytes"), F.lit(0))).first()
-    least = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets, parcels = max(least, size // BUCKET_BYTES), max(least, n // TEXTS)
+    buckets, parcels = 1 + size // BUCKET_BYTES, 1 + n // TEXTS
     copies = hashed.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("digest").alias("g"))
     texts = own.filter(F.col("n_bytes") >= min(length, 2 * words - 1)).select(F.conv(F.substring("h", 1, 16), 16, -10).cast("long").alias("d"), "text")
     samples = cut(recurring(texts.mapInArrow(lambda b: _sent(_sample_places(b, lengths), buckets), PARCEL), parcels).withColumnRenamed("pos", "samples"))

@@ -106,6 +106,15 @@ def test_a_string_that_very_many_texts_share_is_sent_once_by_each_task():
     assert len(sent[0]) == 1 and sorted(known[0].tolist()) == list(range(n))
 
 
+def test_encoded_positions_come_back():
+    r = np.random.default_rng(1)
+    for high in (10, 2000, 2**31 - 1):
+        p = np.unique(r.integers(-high, high, 300)).astype(np.int32)
+        for x in (p, p[:1], p[:0], p[:2]):
+            assert S.decoded(S.encoded(x)).tolist() == x.tolist()
+    assert S.decoded(S.encoded(np.array([0, 254, 509, 765], np.int32))).tolist() == [0, 254, 509, 765]
+
+
 def test_recur_matches_brute_force():
     r = np.random.default_rng(2)
     for _ in range(30):
