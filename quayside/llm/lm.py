@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -28,7 +29,7 @@ END = np.uint64(xxhash.xxh64_intdigest(b"\n", T.SEED))
 ADD = 0.1
 HEAD_SHARE = 1 << 22
 #: Training tokens for each shard of the filter.
-SHARD_TOKENS = 1 << 18
+SHARD_TOKENS = 1 << 20
 #: The bits of an n-gram's key that name its shard; the others name it in the shard's filter.
 TOP = np.uint64((1 << 64) - (1 << 40))
 #: Bits of the filter for each insertion; all bits of an insertion lie in one 64-bit cell.
@@ -286,9 +287,10 @@ def _sorted_counts(counts: DataFrame, least: int) -> tuple[np.ndarray, np.ndarra
 
 GRAMS = "shard int, word boolean, size int, data binary"
 SHARD = "shard int, cells array<long>, words array<long>, n array<long>, heavy array<long>, levels array<long>"
-PROBE = "shard int, row long, size int, tail int, data binary, doc struct<doc_id:long,held_out:boolean,n_tokens:long,known:long,base:double,score:double>"
-PART_TYPES = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-PART = "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double"
+DOC = "doc struct<doc_id:long,held_out:boolean,n_tokens:long,known:long,base:double,score:double>"
+PART = f"chunk long, size int, tail int, data binary, {DOC}"
+PROBE = f"shard int, {PART}"
+SUMS = "doc_id long, held_out boolean, n_tokens long, known long, base double, score double"
 
 
 def _shard(head_least: int):
@@ -340,10 +342,12 @@ def train(docs: DataFrame) -> tuple[Model, DataFrame]:
 
 
 def _score_batches(shared):
-    """A row with doc for each text, with what the head says of it, and for each shard one with the tokens of some texts that it must settle."""
+    """A row with doc for each text, with its place in its chunk as size and what the head says of it, and for each shard a row
+    with those tokens of the chunk that it must settle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, row = shared.value, TaskContext.get().partitionId() << 36
+        m, chunk = shared.value, TaskContext.get().partitionId() << 36
+        names = ["shard", "chunk", "size", "tail", "data", "doc"]
         for b in batches:
             for c in T.chunks(b.column("text")):
                 tok, first = tokens(c)
@@ -365,49 +369,59 @@ def _score_batches(shared):
                     [ids, pa.array(held_out(ids.to_pylist())), pa.array(np.diff(first)), *map(pa.array, sums)],
                     names=["doc_id", "held_out", "n_tokens", "known", "base", "score"],
                 )
-                rows = np.arange(row, row + c.n)
-                names = ["shard", "row", "size", "tail", "data", "doc"]
-                zero = pa.array(np.zeros(c.n, np.int32))
-                yield pa.RecordBatch.from_arrays([pa.array((rows % m.shards).astype(np.int32)), pa.array(rows), zero, zero, pa.nulls(c.n, pa.binary()), doc], names=names)
+                at = np.arange(c.n)
+                columns = (((chunk + at) % m.shards).astype(np.int32), np.full(c.n, chunk), at.astype(np.int32), np.zeros(c.n, np.int32))
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.nulls(c.n, pa.binary()), doc], names=names)
                 left = np.flatnonzero(~known | (pair == 0))
                 # By shard, words outside the head first.
                 left = left[np.argsort(shard[left].astype(np.int64) * 2 + known[left], kind="stable")]
-                of = np.repeat(np.arange(c.n), np.diff(first))[left]
+                of = np.repeat(at, np.diff(first))[left]
                 got = []
                 for s, lo, hi in runs(shard[left]):
                     x = left[lo:hi]
                     tails = int((~known[x]).sum())
                     data = packed(of[lo:hi], 4) + packed(level[x] + 1, 1) + packed(u[x] + 1, 1) + packed(key[x], 5) + packed(tok[x[:tails]], 8)
-                    got.append((s, row, hi - lo, tails, data))
-                columns = list(zip(*got, strict=True)) or [[]] * 5
-                kinds = (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-                yield pa.RecordBatch.from_arrays([*(pa.array(list(x), t) for x, t in zip(columns, kinds, strict=True)), pa.nulls(len(got), doc.type)], names=names)
-                row += c.n
+                    got.append((s, chunk, hi - lo, tails, data))
+                yield _part_rows(got, ("shard", "chunk", "size", "tail", "data"), doc.type)
+                chunk += 1
 
     return run
 
 
+def _part_rows(got: list[tuple], names: tuple[str, ...], doc: pa.DataType) -> pa.RecordBatch:
+    """Rows without doc."""
+    kinds = {"shard": pa.int32(), "chunk": pa.int64(), "size": pa.int32(), "tail": pa.int32(), "data": pa.binary()}
+    columns = list(zip(*got, strict=True)) or [[]] * len(names)
+    return pa.RecordBatch.from_arrays([*(pa.array(list(x), kinds[k]) for x, k in zip(columns, names, strict=True)), pa.nulls(len(got), doc)], names=[*names, "doc"])
+
+
+def _fields(data: bytes, kinds: tuple[tuple[int, int], ...]) -> list[np.ndarray]:
+    """What packed() made of several (number, bytes each), one behind the other."""
+    d, at, out = np.frombuffer(data, np.uint8), 0, []
+    for n, wide in kinds:
+        out.append(unpacked(d, at, n, wide))
+        at += n * wide
+    return out
+
+
 def _settle(shared):
-    """Sums by row over what was sent to a shard."""
+    """What a shard adds to the texts of each chunk, a row for each chunk: of all texts that probe it their places and scores, then
+    of those with words outside the head their places, known tokens and base scores. Rows with doc pass."""
 
     def run(probes: pa.Table, shard: pa.Table) -> pa.Table:
-        m, names = shared.value, ["row", "doc_id", "held_out", "n_tokens", "known", "base", "score"]
-        if not probes.num_rows:
-            return pa.table([pa.array([], t) for t in PART_TYPES], names=names)
+        m, names = shared.value, ["chunk", "size", "tail", "data", "doc"]
         if shard.num_rows:
             cells, words, n = (shard[c].combine_chunks().flatten().to_numpy() for c in ("cells", "words", "n"))
         else:
             cells, words, n = np.zeros(64, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         f = Filter(cells.view(np.uint64), 1)
-        is_doc = probes["doc"].is_valid().to_numpy()
-        docs = pa.chunked_array(probes["doc"].chunks, probes["doc"].type).filter(pa.array(is_doc)).combine_chunks()
+        is_doc = probes["doc"].is_valid()
+        docs, sent = probes.filter(is_doc).select(names), probes.filter(pa.compute.invert(is_doc))
+        chunks = sent["chunk"].to_pylist()
         parts = []
-        for row, size, tails, data in zip(*(probes[c].filter(pa.array(~is_doc)).to_pylist() for c in ("row", "size", "tail", "data")), strict=True):
-            d, at, got = np.frombuffer(data, np.uint8), 0, []
-            for n_, wide in ((size, 4), (size, 1), (size, 1), (size, 5), (tails, 8)):
-                got.append(unpacked(d, at, n_, wide))
-                at += n_ * wide
-            parts.append((got[0].astype(np.int64) + row, got[1].astype(np.int64) - 1, got[2].astype(np.int64) - 1, got[3], got[4]))
+        for i, (size, tails, data) in enumerate(zip(*(sent[c].to_pylist() for c in ("size", "tail", "data")), strict=True)):
+            of, w, u, key, word = _fields(data, ((size, 4), (size, 1), (size, 1), (size, 5), (tails, 8)))
+            parts.append((of.astype(np.int64) + (i << 32), w.astype(np.int64) - 1, u.astype(np.int64) - 1, key, word))
         none = (*[np.zeros(0, np.int64)] * 3, *[np.zeros(0, np.uint64)] * 2)
         row, w, u, key, word = map(np.concatenate, zip(none, *parts, strict=True))
         tail = np.flatnonzero(w < 0)
@@ -415,18 +429,38 @@ def _settle(shared):
         w[tail] = f.levels(word & ~TOP)
         score = m.paired(f.levels(key), u, w)
         score[tail] += m.alone(w[tail])
-        base, known = np.zeros(len(row)), np.zeros(len(row))
-        base[tail], known[tail] = m.base(exact), exact > 0
         rows, inv = np.unique(row, return_inverse=True)
-        known, base, score = (np.bincount(inv, x, len(rows)).astype(float) for x in (known, base, score))
-        none = [pa.nulls(len(rows), k) for k in (pa.int64(), pa.bool_(), pa.int64())]
-        parts = pa.table([pa.array(rows), *none, pa.array(known.astype(np.int64)), pa.array(base), pa.array(score)], names=names)
-        whole = pa.table([probes["row"].filter(pa.array(is_doc)).combine_chunks(), *docs.flatten()], names=names)
-        return pa.concat_tables([whole, parts])
+        score = np.bincount(inv, score, len(rows)).astype(float)
+        tail_rows, inv = np.unique(row[tail], return_inverse=True)
+        known, base = (np.bincount(inv, x, len(tail_rows)).astype(float) for x in (exact > 0, m.base(exact)))
+        edge = np.searchsorted(tail_rows, np.arange(len(chunks) + 1) << 32)
+        got = []
+        for i, lo, hi in runs(rows >> 32):
+            a, b = edge[i], edge[i + 1]
+            data = packed(rows[lo:hi], 4) + packed(score[lo:hi].view(np.uint64), 8)
+            data += packed(tail_rows[a:b], 4) + packed(known[a:b], 4) + packed(base[a:b].view(np.uint64), 8)
+            got.append((chunks[i], hi - lo, int(b - a), data))
+        return pa.concat_tables([docs, pa.Table.from_batches([_part_rows(got, tuple(names[:-1]), probes.schema.field("doc").type)])])
 
     return run
 
 
+def _summed(t: pa.Table) -> pa.Table:
+    """A row for each text of a chunk: what the head says of it and what all shards add."""
+    is_doc = t["doc"].is_valid()
+    docs = t.filter(is_doc).sort_by("size")["doc"].combine_chunks()
+    ids, held, tokens_, *sums = docs.flatten()
+    known, base, score = (x.to_numpy(zero_copy_only=False).copy() for x in sums)
+    sent = t.filter(pa.compute.invert(is_doc))
+    for size, tails, data in zip(*(sent[c].to_pylist() for c in ("size", "tail", "data")), strict=True):
+        # A text has one place in a row of a shard.
+        of, x, tail, k, b = _fields(data, ((size, 4), (size, 8), (tails, 4), (tails, 4), (tails, 8)))
+        score[of.astype(np.int64)] += x.view(np.float64)
+        known[tail.astype(np.int64)] += k.astype(np.int64)
+        base[tail.astype(np.int64)] += b.view(np.float64)
+    return pa.table([ids, held, tokens_, *map(pa.array, (known, base, score))], names=["doc_id", "held_out", "n_tokens", "known", "base", "score"])
+
+
 def scored(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row of docs.
 
@@ -439,8 +473,6 @@ def scored(docs: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
     probes = own.mapInArrow(_score_batches(shared), PROBE)
     parts = probes.groupBy("shard").cogroup(shards.select("shard", "cells", "words", "n").groupBy("shard")).applyInArrow(_settle(shared), PART)
-    return (
-        parts.groupBy("row")
-        .agg(*(F.max(c).alias(c) for c in ("doc_id", "held_out", "n_tokens")), *(F.sum(c).alias(c) for c in ("known", "base", "score")))
-        .select("doc_id", "held_out", "n_tokens", F.col("known").alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score")
+    return parts.groupBy("chunk").applyInArrow(_summed, SUMS).select(
+        "doc_id", "held_out", "n_tokens", F.col("known").alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score"
     )
