@@ -27,9 +27,10 @@ def corpus(n=400):
     return rows + [(9001, None, 0, 0), (9002, "  ", 0, 0), (None, "wort1é unseen", 0, 0), (9003, "x" * 300_000, 0, 0), (3, rows[3][1], 0, 0)]
 
 
-@pytest.mark.parametrize("share", [L.HEAD_SHARE, 20])
-def test_base_score_is_exact(spark, monkeypatch, share):
+@pytest.mark.parametrize("share, shard", [(L.HEAD_SHARE, L.SHARD_TOKENS), (20, L.SHARD_TOKENS), (20, 500), (1, 100)])
+def test_base_score_is_exact(spark, monkeypatch, share, shard):
     monkeypatch.setattr(L, "HEAD_SHARE", share)
+    monkeypatch.setattr(L, "SHARD_TOKENS", shard)
     rows = corpus()
     c = Counter(w for i, t, *_ in rows if not out(i) for w in words(t))
     n, v = sum(c.values()), len(c)
@@ -103,3 +104,32 @@ def test_rare_words_are_told_from_unseen_at_any_size(spark, monkeypatch):
     got = {x.doc_id: x.score for x in L.scored(spark.createDataFrame(rows, SCHEMA).repartition(4)).filter("held_out").collect()}
     rare, never = (sum(got[i] for j, i in enumerate(held) if j % 2 == k) / 40 for k in (1, 0))
     assert rare > never + 0.3
+
+
+def test_score_equals_brute_force_in_any_number_of_shards(spark, monkeypatch):
+    monkeypatch.setattr(L, "BITS", 64)
+    rows = corpus()
+    train = [words(t) for i, t, *_ in rows if not out(i)]
+    c1 = Counter(w for t in train for w in t)
+    c2 = Counter(x for t in train for x in zip([None, *t], t))
+    n, v = sum(c1.values()), len(c1)
+
+    def quantised(x):
+        return 2 ** (math.floor(math.log2(x)) + 0.5) if x else 0.0
+
+    def score(t):
+        total = 0.0
+        for u, w in zip([None, *t], t):
+            p1 = (quantised(c1[w]) + 0.1) / (n + 0.1 * (v + 1))
+            total += math.log10((quantised(c2[u, w]) + L.PRIOR * p1) / (quantised(c1[u]) + L.PRIOR))
+        return total
+
+    want = sorted((str(i), score(words(t))) for i, t, *_ in rows)
+    for share, shard in ((L.HEAD_SHARE, L.SHARD_TOKENS), (20, 500)):
+        monkeypatch.setattr(L, "HEAD_SHARE", share)
+        monkeypatch.setattr(L, "SHARD_TOKENS", shard)
+        got = sorted((str(x.doc_id), x.score) for x in L.scored(spark.createDataFrame(rows, SCHEMA).repartition(5)).collect())
+        assert [i for i, _ in got] == [i for i, _ in want]
+        # Bloom filters may overstate some counts by a level.
+        off = sorted(abs(a - b) / max(1.0, abs(b)) for (_, a), (_, b) in zip(got, want))
+        assert off[int(0.9 * len(off))] < 0.01 and off[-1] < 0.1
