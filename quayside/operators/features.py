@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.exprs import date_parts, day_of_week, from_ms, sdiv
-from quayside.operators.windows import hopping, last_seconds, log_return
+from quayside.operators.windows import hopping, log_return, trailing
 
 WINDOWS = (60, 300, 900)
 
@@ -34,20 +34,20 @@ def trade_features(df: DataFrame) -> DataFrame:
     }))
 
 
-def _rolling(df: DataFrame, aggs: dict[str, Column], seconds: int, mode: str) -> DataFrame:
+def _rolling(df: DataFrame, aggs: dict[str, tuple[str, str]], seconds: int, mode: str) -> DataFrame:
+    """aggs: name -> (aggregate, column)."""
     named = {k.format(h=seconds): v for k, v in aggs.items()}
     if mode == "continuous":
-        w = last_seconds(seconds)
-        return df.withColumns({k: v.over(w) for k, v in named.items()})
-    return hopping(df, named, seconds, only_on_second=mode == "parity")
+        return trailing(df, named, seconds)
+    return hopping(df, {k: getattr(F, how)(x) for k, (how, x) in named.items()}, seconds, only_on_second=mode == "parity")
 
 
 def ticker_rolling(df: DataFrame, windows=WINDOWS, mode: str = "hopping") -> DataFrame:
     """mode: hopping (whole seconds before), parity (the same, only at whole seconds), continuous (up to the row)."""
     for h in windows:
         df = _rolling(df, {
-            "mean_mid_{h}s": F.avg("mid_price"), "std_mid_{h}s": F.stddev_samp("mid_price"), "mean_spread_{h}s": F.avg("spread"),
-            "mean_imbalance_{h}s": F.avg("volume_imbalance"),
+            "mean_mid_{h}s": ("avg", "mid_price"), "std_mid_{h}s": ("stddev_samp", "mid_price"), "mean_spread_{h}s": ("avg", "spread"),
+            "mean_imbalance_{h}s": ("avg", "volume_imbalance"),
         }, h, mode)
     return df
 
@@ -55,8 +55,8 @@ def ticker_rolling(df: DataFrame, windows=WINDOWS, mode: str = "hopping") -> Dat
 def trade_rolling(df: DataFrame, windows=WINDOWS, mode: str = "hopping") -> DataFrame:
     for h in windows:
         df = _rolling(df, {
-            "_pv_{h}s": F.sum("dollar_volume"), "volume_{h}s": F.sum("amount"), "trade_count_{h}s": F.count("price"),
-            "_b_{h}s": F.avg(F.col("is_buy").cast("double")), "realized_var_{h}s": F.var_samp("log_return"),
+            "_pv_{h}s": ("sum", "dollar_volume"), "volume_{h}s": ("sum", "amount"), "trade_count_{h}s": ("count", "price"),
+            "_b_{h}s": ("avg", "is_buy"), "realized_var_{h}s": ("var_samp", "log_return"),
         }, h, mode)
         df = df.withColumns({f"vwap_{h}s": sdiv(f"_pv_{h}s", f"volume_{h}s"), f"dollar_volume_{h}s": F.col(f"_pv_{h}s"), f"buy_ratio_{h}s": F.col(f"_b_{h}s")}).drop(f"_pv_{h}s", f"_b_{h}s")
     return df

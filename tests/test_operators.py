@@ -1,6 +1,7 @@
 """Exact values on small inputs, and the cases that the driver tables do not hold."""
 
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -242,3 +243,23 @@ def test_closed_bars_leave_out_the_last(spark):
 def test_asset_matrix(spark):
     d = spark.createDataFrame([(1, "A-USD", 1.0, 2.0), (1, "B-USD", 3.0, 4.0), (2, "A-USD", 5.0, 6.0)], "t long, s string, v double, w double")
     assert [tuple(x) for x in research.asset_matrix(d, "t", "s", ["v", "w"], ["A-USD", "B-USD"]).collect()] == [(1, 1.0, 2.0, 3.0, 4.0)]
+
+
+def test_trailing_equals_the_range_frame_without_growing_with_it(spark):
+    inf = float("inf")
+    rows = [("x", "A", i // 2 * 700, i, {5: inf, 30: -inf, 31: inf, 50: None, 60: float("nan")}.get(i, 1e6 + (i * 7919 % 101) / 10)) for i in range(120)]
+    d = spark.createDataFrame(rows, "exchange string, symbol string, ms long, seq long, v double")
+    hows = ("sum", "count", "avg", "var_samp", "stddev_samp")
+    want = d.select("seq", *(getattr(F, h)("v").over(W.last_seconds(4)).alias(h) for h in hows)).orderBy("seq").collect()
+    got = W.trailing(d, {h: (h, "v") for h in hows}, 4).select("seq", *hows).orderBy("seq").collect()
+    same = lambda a, b: a == b or (a is not None and b is not None and (math.isnan(a) and math.isnan(b) or math.isclose(a, b, rel_tol=1e-6)))
+    assert all(same(a[h], b[h]) for a, b in zip(got, want, strict=True) for h in hows)
+    # A tenth has no exact double: running sums as they come would be off in the ninth digit.
+    t = spark.range(60_000).select(F.lit("x").alias("exchange"), F.lit("A").alias("symbol"), F.col("id").alias("ms"), F.lit(0.1).alias("v"))
+    r = W.trailing(t, {"s": ("sum", "v")}, 30).filter("ms >= 30000").agg(F.min("s"), F.max("s")).first()
+    assert tuple(r) == (3000.0, 3000.0) or all(abs(x - 3000.0) < 1e-11 for x in r)
+    # Frames that only grow cost a step a row; one that shrinks as well would be summed anew for each row.
+    r = features.trade_rolling(features.trade_features(t.withColumns({"seq": F.col("ms"), "price": F.col("v"), "amount": F.col("v"), "side": F.lit("buy")})), (30,), "continuous")
+    frames = re.findall(r"specifiedwindowframe\((\w+), ([^,]+), ", r._jdf.queryExecution().optimizedPlan().toString())
+    assert frames and all(low == "unboundedpreceding$()" or kind == "RowFrame" for kind, low in frames)
+    assert r.filter("ms = 59999").first().trade_count_30s == 30_000
