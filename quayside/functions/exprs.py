@@ -27,6 +27,18 @@ def sln(x: str | Column) -> Column:
     return F.when(col(x) > 0, F.ln(col(x)))
 
 
+def div(a: str | Column, b: str | Column) -> Column:
+    """a / b as IEEE 754 has it: infinite or NaN where b is 0."""
+    x, y = col(a).cast("double"), col(b).cast("double")
+    return F.when(y == 0, x * F.pow(y, F.lit(-1.0))).otherwise(F.try_divide(x, y))
+
+
+def log(x: str | Column) -> Column:
+    """Natural logarithm as IEEE 754 has it: minus infinity of 0, NaN of what is negative."""
+    y = col(x).cast("double")
+    return F.when(y == 0, float("-inf")).when(y < 0, float("nan")).otherwise(F.ln(y))
+
+
 # ---- symbols
 
 
