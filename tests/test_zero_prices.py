@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 
-QUERIES = ["f14_trade_features"]
+QUERIES = ["f14_trade_features", "a12_correlations"]
 
 
 @pytest.fixture(scope="module")
