@@ -242,8 +242,8 @@ def _(s, d):
     SELECT seq, round(ln(price / a * f), 6) AS log_equity FROM t JOIN f USING (exchange, symbol, wk)""")
 def _(s, d):
     t = views.trades(s, d).withColumns({"wk": F.floor(F.col("ms") / 604_800_000), "equity": F.col("price")})
-    c = research.chained(t, "wk", by=("exchange", "symbol"))
-    return rounded(c.select("seq", F.ln("equity").alias("log_equity")), 6)
+    c = research.chained(t, "wk", by=("exchange", "symbol"), guard=False)
+    return rounded(c.select("seq", E.log("equity").alias("log_equity")), 6)
 
 
 @query("r6_comparison", f""", {_LOG}, n AS (SELECT 'all' AS strategy, gross - 0.0001 AS r FROM tl UNION ALL SELECT 'long', gross - 0.0001 FROM tl WHERE direction = 1)
