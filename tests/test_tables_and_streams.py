@@ -235,3 +235,16 @@ def test_broken_files_are_found_and_repaired(spark, tmp_path):
     tables.write(spark.range(3).toDF("v"), str(tmp_path / "flat"), [])
     tables.write(spark.range(2).toDF("v"), str(tmp_path / "flat"), [])
     assert spark.read.parquet(str(tmp_path / "flat")).count() == 5
+
+
+def test_the_row_that_ends_a_stream_comes_last(spark, monkeypatch):
+    from quayside.plans import catalog_io
+
+    paths, watch = [], flows.watch
+    monkeypatch.setattr(flows, "watch", lambda s, path, *a, **k: paths.append(path) or watch(s, path, *a, **k))
+    t = views.trades(spark, SF)
+    catalog_io._stream(spark, SF, t, catalog_io.TRADES)
+    m = F.col("_metadata")
+    files = spark.read.parquet(paths[0]).groupBy(m["file_path"].alias("f"), m["file_modification_time"].alias("at")).agg(F.count("*").alias("n"), F.max("ms").alias("ms")).orderBy("at").collect()
+    assert files[-1].ms == catalog_io.FAR and files[-1].n == 1 and files[-1].at > files[-2].at
+    assert all(f.ms < catalog_io.FAR for f in files[:-1]) and sum(f.n for f in files) == t.count() + 1
