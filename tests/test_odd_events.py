@@ -18,6 +18,7 @@ CASES = [
     ("a12_correlations", "one price"), ("a12_correlations", "fifty rows"), ("a12_correlations", "no rows"),
     ("p12_not_null", "null times"), ("r3_trade_log", "null times"), ("r3_trade_log", "null users"),
     ("w5_forward_return", "null times"),
+    ("r7_by_day", "null times"),
 ]
 
 
