@@ -19,6 +19,7 @@ CASES = [
     ("p12_not_null", "null times"), ("r3_trade_log", "null times"), ("r3_trade_log", "null users"),
     ("w5_forward_return", "null times"),
     ("r7_by_day", "null times"),
+    ("a15_daily_summary", "null times"),
 ]
 
 
