@@ -12,14 +12,16 @@ ODD = {
     "null users": lambda e: e.withColumn("user_id", F.expr("CASE WHEN event_id % 89 <> 4 THEN user_id END")),
     "one price": lambda e: e.withColumn("value", F.lit(10.0)),
     "fifty rows": lambda e: e.filter("event_id < 50"),
+    "three hundred rows": lambda e: e.filter("event_id < 300"),
     "no rows": lambda e: e.filter("false"),
 }
 CASES = [
-    ("a12_correlations", "one price"), ("a12_correlations", "fifty rows"), ("a12_correlations", "no rows"),
+    ("a12_correlations", "one price"), ("a12_correlations", "fifty rows"), ("a12_correlations", "no rows"), ("a12_correlations", "null times"),
     ("p12_not_null", "null times"), ("r3_trade_log", "null times"), ("r3_trade_log", "null users"),
     ("w5_forward_return", "null times"),
     ("r7_by_day", "null times"),
     ("a15_daily_summary", "null times"),
+    ("a13_rank_correlation", "three hundred rows"), ("a13_rank_correlation", "null times"), ("a13_rank_correlation", "null users"),
 ]
 
 
