@@ -1,9 +1,12 @@
+import glob
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__
 from quayside.operators import bars, book, features, flow, tables
 from quayside.operators.filters import FilterSpec
 from quayside.plans.config import Config, Features, Input, Output
@@ -119,6 +122,28 @@ def test_stream_equals_batch(spark, tmp_path):
     assert got == want
 
 
+@pytest.mark.parametrize("name", ["st2_tumbling", "st3_sliding", "st4_sessions"])
+def test_stream_queries_do_not_hang_on_the_times_of_files(spark, monkeypatch, name):
+    """Whenever a stream starts, the file written last has the earliest time, and times lie within a second."""
+    paths, watch, sink = [], flows.watch, flows.sink
+
+    def watched(s, path, *a, **k):
+        paths.append(path.removeprefix("file:"))
+        return watch(s, path, *a, **k)
+
+    def started(*a, **k):
+        files = sorted(glob.glob(f"{paths[-1]}/*.parquet"), key=os.path.getmtime)
+        now = time.time()
+        for i, f in enumerate(files):
+            os.utime(f, (now, now - i / 10))
+        return sink(*a, **k)
+
+    query = __spark_entry__.queries()[name]
+    monkeypatch.setattr(flows, "watch", watched)
+    monkeypatch.setattr(flows, "sink", started)
+    assert query(spark, SF).agg(F.sum({"st2_tumbling": "trade_count"}.get(name, "n"))).first()[0] == views.trades(spark, SF).count() * (2 if name == "st3_sliding" else 1)
+
+
 def test_streaming_order_flow_equals_batch(spark, tmp_path):
     b = book.top_of_book(views.books(spark, SF)).select("exchange", "symbol", "ms", "seq", "best_bid", "top_bid_size", "best_ask", "top_ask_size")
     src = str(tmp_path / "src")
