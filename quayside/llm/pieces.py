@@ -7,6 +7,9 @@ are exact: a set of segmentations with log-mass m has as its maximum one Gumbel
 into the drawn segmentation of the next word (which keeps the maximum) and the rest (whose maximum is drawn below it).
 Following the drawn part to the end gives one segmentation; the open rests wait in the queue, and the best is next.
 
+The best segmentations of all distinct words of a block of texts are listed together, in arrays; lattices of single words are built
+for long words, and for draws from outside the lists.
+
 Random numbers are hashes of seed, row key, round and word, so a row gives the same sample wherever it is computed.
 """
 
@@ -17,8 +20,11 @@ import re
 import zlib
 from array import array
 from collections.abc import Collection, Iterator
+from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -28,15 +34,71 @@ from quayside.llm.lm import mix
 from quayside.llm.tables import keyed_texts
 
 MARK = "▁"
+#: Words; texts are cut at all their ends, and within them between characters that no piece joins.
 WORD = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
-#: Segmentations of a word that are listed, best first; the others are drawn from the lattice when their turn comes.
+#: Segmentations of a word that are listed, best first (a power of two); the others are drawn from the lattice when their turn comes.
 LISTED = 4
-#: Distinct words remembered at a time.
-CACHE = 200_000
+#: Words of at most so many characters are listed all at once, position by position; longer ones one after the other.
+SHORT = 64
+#: Side of the largest table of pairs of characters that is held whole.
+PAIRS = 8192
 #: Tokens that are worked on at once.
 BLOCK = 400_000
 
 
+class Lists(NamedTuple):
+    """The LISTED best segmentations of words, best first: log-probabilities, the probability of all others, and where their ids are."""
+
+    logs: np.ndarray
+    others: np.ndarray
+    ids: np.ndarray
+    at: np.ndarray
+    size: np.ndarray
+
+    def segments(self, word: int) -> list[bytes]:
+        """Ids (32-bit) of those that there are."""
+        return [self.ids[a : a + n].tobytes() for a, n in zip(self.at[word].tolist(), self.size[word].tolist(), strict=True) if n]
+
+
+def _merged(a: np.ndarray, from_a: np.ndarray, b: np.ndarray, from_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The largest of two falling lists a column, falling, with what belongs to them; of equals those with the larger from (a bitonic merge)."""
+    k = len(a)
+    b, from_b = b[::-1], from_b[::-1]
+    take = (a > b) | ((a == b) & (from_a > from_b))
+    x, y = np.where(take, a, b), np.where(take, from_a, from_b)
+    half = k // 2
+    while half:
+        x, y = x.reshape(-1, 2, half, a.shape[1]), y.reshape(-1, 2, half, a.shape[1])
+        (x0, x1), (y0, y1) = (x[:, 0], x[:, 1]), (y[:, 0], y[:, 1])
+        keep = (x0 > x1) | ((x0 == x1) & (y0 > y1))
+        x = np.stack([np.maximum(x0, x1), np.minimum(x0, x1)], axis=1)
+        y = np.stack([np.where(keep, y0, y1), np.where(keep, y1, y0)], axis=1)
+        half //= 2
+    return x.reshape(k, -1), y.reshape(k, -1)
+
+
+def _numbered(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each word, first word of each number); words are told apart by a hash, and then compared."""
+    place = np.arange(len(codes)) - np.repeat(starts, lengths)
+    power = np.full(int(lengths.max()), 0xD1B54A32D192ED03, np.uint64)
+    power[0] = 1
+    with np.errstate(over="ignore"):
+        power = np.multiply.accumulate(power)
+        name = np.add.reduceat(mix(np.arange(int(codes.max()) + 1, dtype=np.uint64))[codes] * power[place], starts)
+    number, _ = pd.factorize(name)
+    number = number.astype(np.int64)
+    first = np.zeros(int(number.max()) + 1, np.int64)
+    first[number[::-1]] = np.arange(len(number) - 1, -1, -1)
+    same = lengths[first][number] == lengths
+    if not same.all() or not (codes[np.repeat(starts[first][number], lengths) + place] == codes).all():
+        # Two words with one hash.
+        index: dict[bytes, int] = {}
+        number = np.array([index.setdefault(codes[a : a + n].tobytes(), len(index)) for a, n in zip(starts.tolist(), lengths.tolist(), strict=True)], np.int64)
+        first = np.zeros(len(index), np.int64)
+        first[number[::-1]] = np.arange(len(number) - 1, -1, -1)
+    return number, first
+
+
 class Pieces:
     """Lattices of one model. Weights are the model's scores, or of a BPE model (whose scores are minus ranks) -log(1 + rank), times alpha."""
 
@@ -51,13 +113,73 @@ class Pieces:
         if crossing := [p for p in self.arcs if re.search(f"[^{MARK}]{MARK}", p) or ("\n" in p and len(p) > 1)]:
             raise ValueError(f"pieces cross words: {crossing[:3]}")
         self.prefixes = {x[:n] for x in self.arcs for n in range(1, len(x) + 1)}
-        #: Every end of a piece, with its arc if it is a piece itself.
-        self.suffixes = {x[n:]: None for x in self.arcs for n in range(len(x))} | {x: (w, (i,)) for x, (w, i) in self.arcs.items()}
-        self.joined = {x[n : n + 2] for x in self.arcs for n in range(len(x) - 1)}
         self.bytes = {b: sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)}
         self.unknown = sp.unk_id()
         self.worst = min(weight.values()) - 1
-        self.words: dict[str, tuple] = {}
+        self._index()
+
+    def _index(self) -> None:
+        """The pieces as a trie in arrays: characters as numbers from 1, nodes by (node, character) in a hash table."""
+        letters = sorted({c for x in self.arcs for c in x})
+        self.size = len(letters) + 1
+        self.letter = np.zeros(ord(letters[-1]) + 2, np.int64)
+        self.letter[[ord(c) for c in letters]] = np.arange(1, self.size)
+        number = {c: i for i, c in enumerate(letters, 1)}
+        joined = np.array(sorted({number[x[n]] * self.size + number[x[n + 1]] for x in self.arcs for n in range(len(x) - 1)} or {0}), np.int64)
+        self.pairs = joined
+        self.pair_table = None
+        if self.size <= PAIRS:
+            self.pair_table = np.zeros(self.size * self.size, bool)
+            self.pair_table[joined] = True
+        nodes = {x: n for n, x in enumerate(sorted(self.prefixes, key=lambda x: (len(x), x)), 1)}
+        self.longest = max(map(len, self.arcs))
+        self.node_weight = np.full(len(nodes) + 1, -np.inf)
+        self.node_id = np.zeros(len(nodes) + 1, np.int64)
+        for x, (w, i) in self.arcs.items():
+            self.node_weight[nodes[x]], self.node_id[nodes[x]] = w, i
+        self.root = np.zeros(self.size, np.int64)
+        self.root[[number[c] for c in letters]] = [nodes[c] for c in letters]
+        deep = [x for x in nodes if len(x) > 1]
+        keys = np.array([nodes[x[:-1]] * self.size + number[x[-1]] for x in deep], np.int64)
+        self.bits = max(4, (4 * len(keys)).bit_length())
+        self.slot_key, self.slot_node = np.full(1 << self.bits, -1), np.zeros(1 << self.bits, np.int64)
+        values, slots = np.array([nodes[x] for x in deep], np.int64), self._slots(keys)
+        while len(keys):
+            empty = self.slot_key[slots] < 0
+            self.slot_key[slots[empty]] = keys[empty]
+            self.slot_node[slots[empty]] = values[empty]
+            # Of several that met in one slot, the last is there; the others go on to the next.
+            wait = self.slot_key[slots] != keys
+            keys, values, slots = keys[wait], values[wait], (slots[wait] + 1) & ((1 << self.bits) - 1)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _children(self, node: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        """0 where there is none."""
+        keys = node * self.size + letter
+        slots = self._slots(keys)
+        there = self.slot_key[slots]
+        out = np.where(there == keys, self.slot_node[slots], 0)
+        open_ = np.flatnonzero((there != keys) & (there >= 0))
+        while len(open_):
+            slots[open_] = (slots[open_] + 1) & ((1 << self.bits) - 1)
+            there = self.slot_key[slots[open_]]
+            hit = there == keys[open_]
+            out[open_[hit]] = self.slot_node[slots[open_[hit]]]
+            open_ = open_[~hit & (there >= 0)]
+        return out
+
+    def letters(self, codes: np.ndarray) -> np.ndarray:
+        """Numbers of characters; 0 for those in no piece."""
+        return self.letter[np.minimum(codes, len(self.letter) - 1)]
+
+    def joins(self, letters: np.ndarray) -> np.ndarray:
+        """Whether each character but the first stands beside the one before in some piece. Words are cut where it does not."""
+        key = letters[:-1] * self.size + letters[1:]
+        if self.pair_table is not None:
+            return self.pair_table[key]
+        return self.pairs[np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)] == key
 
     def arcs_from(self, word: str, i: int) -> list[tuple[float, tuple[int, ...], int]]:
         """(weight, ids, length) of what may begin at i; a character that is no piece is its bytes (or unknown)."""
@@ -70,8 +192,7 @@ class Pieces:
                 out.append((x[0], (x[1],), j - i))
                 single = single or j == i + 1
         if not single:
-            ids = tuple(self.bytes[b] for b in word[i].encode())
-            out.append((self.worst * len(ids), ids if self.unknown not in ids else (self.unknown,), 1))
+            out.append((self.worst * len(word[i].encode()), self.spelled(ord(word[i])), 1))
         return out
 
     def lattice(self, word: str) -> tuple[list, list[float]]:
@@ -109,67 +230,125 @@ class Pieces:
             out.append((-x[0], array("I", [k for own in reversed(ids) for k in own]).tobytes()))
         return out, more[-1]
 
-    def parts(self, word: str) -> list[str]:
-        """The word cut between characters that stand side by side in no piece."""
-        out, at = [], 0
-        for i in range(1, len(word)):
-            if word[i - 1 : i + 1] not in self.joined:
-                out.append(word[at:i])
-                at = i
-        return [*out, word[at:]]
-
-    def prepare(self, words: list[str]) -> None:
-        """Lists the best segmentations of words, in order, so that a word goes on from what it shares with the one before."""
-        if len(self.words) > CACHE:
-            self.words.clear()
-        exp, log, take, before = math.exp, math.log, self.suffixes.get, ""
-        best: list[list] = [[(0.0, -1, 0, ())]]
-        mass, more = [0.0], [False]
-        for word in sorted(w for w in words if w not in self.words):
-            n = 0
-            for x, y in zip(before, word):  # noqa: B905
-                if x != y:
-                    break
-                n += 1
-            del best[n + 1 :], mass[n + 1 :], more[n + 1 :]
-            before = word
-            for j in range(n + 1, len(word) + 1):
-                arcs, i = [], j - 1
-                while i >= 0 and (got := take(word[i:j], 0)) != 0:
-                    if got is not None:
-                        arcs.append((i, *got))
-                    i -= 1
-                if not arcs or arcs[0][0] != j - 1:
-                    ids = tuple(self.bytes[b] for b in word[j - 1].encode())
-                    arcs.append((j - 1, self.worst * len(ids), ids if self.unknown not in ids else (self.unknown,)))
-                if len(arcs) == 1:
-                    i, w, own = arcs[0]
-                    mass.append(mass[i] + w)
-                    best.append([(x[0] - w, i, r, own) for r, x in enumerate(best[i])])
-                    more.append(more[i])
+    def spelled(self, code: int) -> tuple[int, ...]:
+        """Ids of a character that is no piece: its bytes, or unknown."""
+        ids = tuple(self.bytes[b] for b in chr(code).encode())
+        return ids if self.unknown not in ids else (self.unknown,)
+
+    def lists(self, codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> Lists:
+        """The best segmentations of words, given as places in an array of code points."""
+        n = len(starts)
+        logs, others = np.full((n, LISTED), -np.inf), np.zeros(n)
+        at, size = np.zeros((n, LISTED), np.int64), np.zeros((n, LISTED), np.int64)
+        flat, end = [], 0
+        short = np.flatnonzero(lengths <= SHORT)
+        if len(short):
+            short = short[np.argsort(-lengths[short], kind="stable")]
+            logs[short], others[short], ids, size[short] = self._short(codes, starts[short], lengths[short])
+            ends = np.cumsum(size[short].ravel()).reshape(-1, LISTED)
+            at[short] = ends - size[short]
+            flat.append(ids)
+            end = len(ids)
+        for w in np.flatnonzero(lengths > SHORT).tolist():
+            into, mass = self.lattice(codes[starts[w] : starts[w] + lengths[w]].astype("<u4").tobytes().decode("utf-32-le"))
+            best, more = self.best(into, LISTED)
+            for r, (x, seg) in enumerate(best):
+                logs[w, r], at[w, r], size[w, r] = min(0.0, x - mass[-1]), end, len(seg) // 4
+                flat.append(np.frombuffer(seg, np.uint32))
+                end += len(seg) // 4
+            others[w] = max(1e-17, 1.0 - float(np.exp(logs[w]).sum())) if more else 0.0
+        return Lists(logs, others, np.concatenate(flat) if flat else np.zeros(0, np.uint32), at, size)
+
+    def _short(self, codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(log-probabilities, probability of all others, ids one after the other, their numbers) of words from the longest to the shortest.
+
+        Place j of word w is cell off[j] + w, so the words that reach j stand side by side. Arcs are numbered by length and start."""
+        k, top = LISTED, int(lengths[0])
+        reach = np.searchsorted(-lengths, -np.arange(top + 2), side="right")  # words of at least j characters
+        off = np.concatenate([[0], np.cumsum(reach)])
+        char = np.concatenate([[0], np.cumsum(reach[1:])])
+        places = np.concatenate([starts[: reach[i + 1]] + i for i in range(top)])
+        letter = self.letters(codes[places])
+        # Arcs of one character are everywhere: a piece, or the character spelled out.
+        node = self.root[letter]
+        weight, ident = self.node_weight[node], self.node_id[node]
+        odd = np.flatnonzero(np.isneginf(weight))
+        own, back_to = np.unique(codes[places[odd]], return_inverse=True)
+        spelled = [self.spelled(int(c)) for c in own]
+        if len(odd):
+            weight[odd] = self.worst * np.array([len(chr(int(c)).encode()) for c in own])[back_to]
+            ident[odd] = -1 - back_to
+        arcs, idents, bases = [], [ident], [0, 0, len(ident)]
+        i, w = np.repeat(np.arange(top), reach[1 : top + 1]), np.concatenate([np.arange(reach[j + 1]) for j in range(top)])
+        for n in range(2, min(self.longest, top) + 1):
+            on = np.flatnonzero((node > 0) & (reach[np.minimum(i + n, top + 1)] > w))
+            i, w = i[on], w[on]
+            node = self._children(node[on], letter[char[i + n - 1] + w])
+            on = np.flatnonzero(node)
+            i, w, node = i[on], w[on], node[on]
+            is_piece = np.flatnonzero(np.isfinite(self.node_weight[node]))
+            arcs.append((w[is_piece], self.node_weight[node[is_piece]], np.searchsorted(i[is_piece], np.arange(top + 2)).tolist()))
+            idents.append(self.node_id[node[is_piece]])
+            bases.append(bases[-1] + len(is_piece))
+        ident = np.concatenate(idents)
+        span = np.repeat(np.arange(1, len(idents) + 1), [len(x) for x in idents])
+        # Best ways to each cell and how they end (arc and rank there), log-mass and number of all ways, up to more than are listed.
+        cells = int(off[top + 1])
+        best, back = np.full((k, cells), -np.inf), np.zeros((k, cells), np.int64)
+        mass, ways = np.zeros(cells), np.ones(cells, np.int64)
+        best[0, : reach[0]] = 0.0
+        # Of equal ways the one with the longest last arc comes first, then the one that is better up to there.
+        rank = k - 1 - np.arange(k)[:, None]
+        for j in range(1, top + 1):
+            m, prev, here = int(reach[j]), int(off[j - 1]), int(off[j])
+            one = slice(int(char[j - 1]), int(char[j - 1]) + m)
+            v, p = best[:, prev : prev + m] + weight[one], np.arange(one.start, one.stop) * k + rank
+            total, number = mass[prev : prev + m] + weight[one], ways[prev : prev + m].copy()
+            for n, (who, x, bounds) in enumerate(arcs[: j - 1], 2):
+                lo, hi = bounds[j - n], bounds[j - n + 1]
+                if lo == hi:
                     continue
-                t = [mass[i] + w for i, w, _ in arcs]
-                top = max(t)
-                mass.append(top + log(sum([exp(x - top) for x in t])))
-                c = [(x[0] - w, i, r, own) for i, w, own in arcs for r, x in enumerate(best[i])]
-                c.sort()
-                more.append(len(c) > LISTED or any([more[i] for i, _, _ in arcs]))
-                best.append(c[:LISTED])
-            logs, segs = [], []
-            for step in best[-1]:
-                logs.append(min(0.0, -step[0] - mass[-1]))
-                ids: list = []
-                while step[1] >= 0:
-                    ids.append(step[3])
-                    step = best[step[1]][step[2]]
-                segs.append(array("I", [k for own in reversed(ids) for k in own]).tobytes())
-            self.words[word] = (logs, segs, max(1e-17, 1.0 - sum(map(exp, logs))) if more[-1] else 0.0)
+                who, x = who[lo:hi], x[lo:hi]
+                src = off[j - n] + who
+                get = lambda table, at: table.take(at, axis=1, mode="clip")
+                v[:, who], p[:, who] = _merged(get(v, who), get(p, who), get(best, src) + x, np.arange(bases[n] + lo, bases[n] + hi) * k + rank)
+                total[who] = np.logaddexp(total[who], mass[src] + x)
+                number[who] += ways[src]
+            best[:, here : here + m], back[:, here : here + m] = v, p
+            mass[here : here + m], ways[here : here + m] = total, np.minimum(number, k + 1)
+        ends = off[lengths] + np.arange(len(lengths))
+        logs = np.minimum(0.0, best[:, ends] - mass[ends]).T
+        others = np.where(ways[ends] > k, np.maximum(1e-17, 1.0 - np.exp(logs).sum(axis=1)), 0.0)
+        # All ways backwards at once; a way's arcs come last first.
+        way = np.flatnonzero(np.isfinite(logs).ravel())
+        at, r = lengths[way // k].copy(), way % k
+        who, steps, sizes = way // k, [], np.zeros(logs.size, np.int64)
+        odd_sizes = np.array([len(x) for x in spelled] or [1])
+        while len(way):
+            code = back[r, off[at] + who]
+            arc = code // k
+            ids = ident[arc]
+            many = np.where(ids < 0, odd_sizes[np.clip(-1 - ids, 0, len(odd_sizes) - 1)], 1) if len(odd) else np.ones(len(ids), np.int64)
+            sizes[way] += many
+            steps.append((way, ids, sizes[way]))
+            on = np.flatnonzero(at > span[arc])
+            way, who, at, r = way[on], who[on], (at - span[arc])[on], (k - 1 - code % k)[on]
+        upto = np.cumsum(sizes)
+        flat = np.zeros(int(upto[-1]), np.uint32)
+        for way, ids, done in steps:
+            plain = np.flatnonzero(ids >= 0)
+            flat[upto[way[plain]] - done[plain]] = ids[plain]
+            for t in np.flatnonzero(ids < 0).tolist():
+                to, x = int(upto[way[t]] - done[t]), spelled[-1 - int(ids[t])]
+                flat[to : to + len(x)] = x
+        return logs, others, flat, sizes.reshape(-1, k)
 
     def listed(self, word: str) -> tuple[list[float], list[bytes], float]:
         """Log-probabilities and ids (32-bit) of the best segmentations, best first, and the probability of all others."""
-        if word not in self.words:
-            self.prepare([word])
-        return self.words[word]
+        codes = np.frombuffer(word.encode("utf-32-le"), np.uint32)
+        x = self.lists(codes, np.zeros(1, np.int64), np.array([len(codes)]))
+        n = int(np.isfinite(x.logs[0]).sum())
+        return x.logs[0, :n].tolist(), x.segments(0)[:n], float(x.others[0])
 
     def draw(self, word: str, uniform: Iterator[float], without: Collection[bytes], rest: float) -> tuple[float, bytes]:
         """A segmentation drawn from all but without, whose ids those are; rest is about the probability of all others. A common rest
@@ -269,34 +448,26 @@ def _log_inclusion(x: float) -> float:
 
 def sample(model: Pieces, texts: list[str], seeds: np.ndarray, k: int) -> list[list[tuple[float, float, float, bytes]]]:
     """For each text its k segmentations, or all if there are fewer: (log-probability, perturbed, log of inclusion, ids)."""
-    # Words as numbers of distinct words, and those as numbers of distinct parts.
-    index: dict[str, int] = {}
-    split = [WORD.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-    whole = np.array([index.setdefault(w, len(index)) for ws in split for w in ws], dtype=np.int64)
-    number: dict[str, int] = {}
-    cuts = [[number.setdefault(x, len(number)) for x in model.parts(w)] for w in index]
-    names = list(number)
-    lengths = np.array([len(c) for c in cuts], dtype=np.int64)
-    starts, flat = np.cumsum(lengths) - lengths, np.array([x for c in cuts for x in c], dtype=np.int64)
-    each = lengths[whole]
-    upto = np.zeros(len(whole) + 1, np.int64)
-    np.cumsum(each, out=upto[1:])
-    word = flat[np.repeat(starts[whole] - upto[:-1], each) + np.arange(upto[-1])]
-    model.prepare(names)
-    logs, segs, others = zip(*map(model.listed, names), strict=True) if names else ((), (), ())
-    others = np.array(others)
-    sizes = np.array([len(x) for x in logs], dtype=np.int64)
-    table = np.full((len(names), LISTED), -np.inf)
-    for i, x in enumerate(logs):
-        table[i, : len(x)] = x
+    # Words, cut where no piece holds both sides (which is also where words end), as numbers of distinct ones.
+    text = "".join([MARK + t.replace(" ", MARK) for t in texts if t])
+    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    begins = np.zeros(len(texts) + 1, np.int64)
+    np.cumsum([len(t) + 1 if t else 0 for t in texts], out=begins[1:])
+    cut = np.ones(len(codes) + 1, bool)
+    cut[1:-1] = ~model.joins(model.letters(codes)) if len(codes) else cut[1:-1]
+    cut[begins] = True
+    starts = np.flatnonzero(cut)
+    first = np.searchsorted(starts, begins)
+    lengths, starts = np.diff(starts), starts[:-1]
+    word, names = _numbered(codes, starts, lengths) if len(codes) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    name = lambda w: text[starts[names[w]] : starts[names[w]] + lengths[names[w]]]
+    lists = model.lists(codes, starts[names], lengths[names])
+    table, others, sizes = lists.logs, lists.others, np.isfinite(lists.logs).sum(axis=1)
     chance = np.exp(table)
     edges = np.cumsum(chance, axis=1)
     # Log of all that is not a word's segmentation c, as a sum of the others: 1 - p would lose what is rare.
     with np.errstate(divide="ignore"):
         spared = np.log(np.stack([np.delete(chance, c, axis=1).sum(axis=1) + others for c in range(LISTED)], axis=1)) if len(names) else table
-    ends = np.zeros(len(texts) + 1, np.int64)
-    np.cumsum([len(ws) for ws in split], out=ends[1:])
-    first = upto[ends]
     size = np.diff(first)
     doc, pos = np.repeat(np.arange(len(texts)), size), np.arange(len(word)) - np.repeat(first[:-1], size)
     seed = seeds[doc]
@@ -316,7 +487,7 @@ def sample(model: Pieces, texts: list[str], seeds: np.ndarray, k: int) -> list[l
         for j in np.flatnonzero(c >= LISTED).tolist():
             t = int(at[j])
             w = int(word[t])
-            p[j], own[r, t] = model.draw(names[w], _stream(int(seed[t]), r, int(pos[t])), set(segs[w]), float(others[w]))
+            p[j], own[r, t] = model.draw(name(w), _stream(int(seed[t]), r, int(pos[t])), set(lists.segments(w)), float(others[w]))
         return c, p
 
     rounds = []  # (choice, log-probability, bound of the rest at each token), whole arrays
@@ -355,18 +526,19 @@ def sample(model: Pieces, texts: list[str], seeds: np.ndarray, k: int) -> list[l
             for d in np.flatnonzero(live).tolist():
                 t, q = int(first[d] + start[d]), int(prior[d])
                 w = int(word[t])
+                segs, logs = lists.segments(w), table[w, : sizes[w]].tolist()
                 taken = gone.setdefault(t * (k + 1) + q, {})
                 c = int(rounds[q][0][t])
-                taken.setdefault(own[q, t] if c >= LISTED else segs[w][c], float(rounds[q][1][t]))
-                left = [(x, s, i) for i, (x, s) in enumerate(zip(logs[w], segs[w], strict=True)) if s not in taken]
+                taken.setdefault(own[q, t] if c >= LISTED else segs[c], float(rounds[q][1][t]))
+                left = [(x, s, i) for i, (x, s) in enumerate(zip(logs, segs, strict=True)) if s not in taken]
                 listed_left = sum(math.exp(x) for x, _, _ in left)
-                unlisted = max(0.0, float(others[w]) - sum(math.exp(x) for s, x in taken.items() if s not in segs[w]))
+                unlisted = max(0.0, float(others[w]) - sum(math.exp(x) for s, x in taken.items() if s not in segs))
                 if others[w] > 0 and unlisted < 1e-6:
                     # So little is left that the difference above is noise; a short lattice can be summed up instead.
-                    found, endless = model.best(model.lattice(names[w])[0], 256)
+                    found, endless = model.best(model.lattice(name(w))[0], 256)
                     if not endless:
-                        mass = model.lattice(names[w])[1][-1]
-                        unlisted = sum(math.exp(x - mass) for x, s in found if s not in taken and s not in segs[w])
+                        mass = model.lattice(name(w))[1][-1]
+                        unlisted = sum(math.exp(x - mass) for x, s in found if s not in taken and s not in segs)
                 uni = _stream(int(seeds[d]), 1000 + r, int(start[d]))
                 u = next(uni) * (listed_left + unlisted)
                 for x, s, i in left:
@@ -376,11 +548,11 @@ def sample(model: Pieces, texts: list[str], seeds: np.ndarray, k: int) -> list[l
                         break
                 else:
                     if unlisted > 0:
-                        logp[t], own[r, t] = model.draw(names[w], uni, {*segs[w], *taken}, unlisted)
+                        logp[t], own[r, t] = model.draw(name(w), uni, {*segs, *taken}, unlisted)
                         choice[t] = LISTED
                     else:
                         choice[t], logp[t] = left[-1][2], left[-1][0]
-                more = dict(taken) | {(own[r, t] if choice[t] >= LISTED else segs[w][choice[t]]): float(logp[t])}
+                more = dict(taken) | {(own[r, t] if choice[t] >= LISTED else segs[choice[t]]): float(logp[t])}
                 gone[t * (k + 1) + r] = more
                 rest = sum(math.exp(x) for x, _, i in left if i != choice[t]) + (unlisted if choice[t] < LISTED else _difference(unlisted, math.exp(logp[t])))
                 forced[d] = math.log(rest) if rest > 0 else -math.inf
@@ -400,10 +572,22 @@ def sample(model: Pieces, texts: list[str], seeds: np.ndarray, k: int) -> list[l
             rest = np.where(here, forced[doc[span]], rest)
         bound[span] = _below(before[span] + rest, top[doc[span]], uniforms(seed[span], 2 * r + 1, pos[span]))
         rounds.append((choice, logp, bound))
+        # Ids of the live texts, one after the other; those that are in no list stand behind the lists.
+        on = np.flatnonzero(live[doc])
+        c = choice[on]
+        new = np.flatnonzero(c >= LISTED)
+        extra = [own[r, t] for t in on[new].tolist()]
+        at, many = lists.at[word[on], np.minimum(c, LISTED - 1)], lists.size[word[on], np.minimum(c, LISTED - 1)]
+        many[new] = [len(x) // 4 for x in extra]
+        at[new] = len(lists.ids) + np.cumsum(many[new]) - many[new]
+        upto = np.zeros(len(on) + 1, np.int64)
+        np.cumsum(many, out=upto[1:])
+        pool = np.concatenate([lists.ids, np.frombuffer(b"".join(extra), np.uint32)])
+        ids, lo = pool[np.repeat(at - upto[:-1], many) + np.arange(upto[-1])].tobytes(), 0
         for d in np.flatnonzero(live).tolist():
-            lo, hi = int(first[d]), int(first[d + 1])
-            ids = b"".join([own[r, t] if c >= LISTED else segs[w][c] for t, w, c in zip(range(lo, hi), word[lo:hi].tolist(), choice[lo:hi].tolist(), strict=True)])
-            out[d].append((float(total[hi] - total[lo]), float(top[d]), ids))
+            hi = lo + int(size[d])
+            out[d].append((float(total[first[d + 1]] - total[first[d]]), float(top[d]), ids[4 * int(upto[lo]) : 4 * int(upto[hi])]))
+            lo = hi
     done = []
     for d, rows in enumerate(out):
         # The bound of the best that was left out, or nothing if all are in.
@@ -433,9 +617,14 @@ def _blocks(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield lo, len(texts)
 
 
+@lru_cache(2)
+def _pieces(path: str, alpha: float) -> Pieces:
+    return Pieces(path, alpha)
+
+
 def _sample_batches(path: str, k: int, alpha: float, seed: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Pieces(path, alpha)
+        model = _pieces(path, alpha)
         for b in batches:
             keys, texts = b.column("doc_id").to_pylist(), b.column("text").to_pylist()
             seeds = row_seeds(keys, seed)

@@ -1,4 +1,5 @@
 import math
+import sys
 import zlib
 from collections import Counter
 
@@ -113,3 +114,62 @@ def test_round_trip_and_edges(spark):
     again = P.encoded(df.repartition(1), PATH, 3).collect()
     assert sorted((str(r.doc_id), r.sample, r.ids_crc32) for r in again) == sorted((str(r.doc_id), r.sample, r.ids_crc32) for r in out)
     assert P.encoded(spark.createDataFrame([], SCHEMA), PATH).count() == 0
+
+
+LETTERS = "abehinrst▁\n\0é😀한中\U0010ffff"
+
+
+def some_words(n, longest, letters=LETTERS):
+    rng = np.random.default_rng(7)
+    return ["".join(letters[i] for i in rng.integers(0, len(letters), m)) for m in rng.integers(1, longest + 1, n)]
+
+
+@pytest.mark.parametrize(("short", "pairs", "listed"), [(P.SHORT, P.PAIRS, P.LISTED), (0, P.PAIRS, P.LISTED), (5, 0, 2), (P.SHORT, 0, 8)])
+def test_words_listed_at_once_equal_the_lattice_of_each(monkeypatch, short, pairs, listed):
+    for name, value in (("SHORT", short), ("PAIRS", pairs), ("LISTED", listed)):
+        monkeypatch.setattr(P, name, value)
+    model = P.Pieces(PATH)
+    words = [*some_words(300, 12), *some_words(20, 100), "▁internationalisation", "x" * 64, "x" * 65]
+    codes = np.array([ord(c) for w in words for c in w], np.uint32)
+    lengths = np.array([len(w) for w in words])
+    lists = model.lists(codes, np.cumsum(lengths) - lengths, lengths)
+    for i, w in enumerate(words):
+        into, mass = model.lattice(w)
+        want, more = model.best(into, listed)
+        assert lists.segments(i) == [ids for _, ids in want] and np.allclose(lists.logs[i, : len(want)], [x - mass[-1] for x, _ in want], atol=1e-9)
+        assert np.isneginf(lists.logs[i, len(want) :]).all() and (lists.others[i] > 0) == more
+    # Cuts are where words end and between characters that no piece joins.
+    text = "".join(P.MARK + w.replace(" ", P.MARK) for w in words)
+    joins = model.joins(model.letters(np.array([ord(c) for c in text], np.uint32)))
+    pairs_of = {x[i : i + 2] for x in model.arcs for i in range(len(x) - 1)}
+    assert joins.tolist() == [text[i : i + 2] in pairs_of for i in range(len(text) - 1)]
+    ends = np.cumsum([len(x) for x in P.WORD.findall(text)])[:-1]
+    assert not joins[ends - 1].any()
+
+
+def test_words_with_one_hash_are_told_apart(model, monkeypatch):
+    texts = [" ".join(some_words(30, 6)), "hello hello world", "", "\0 \0\0 \0"]
+    want = P.sample(model, texts, P.row_seeds([1, 2, 3, 4], 1), 3)
+    real = P.mix
+    monkeypatch.setattr(P, "mix", lambda x: x * np.uint64(0) if len(x) > 1000 else real(x))
+    assert P.sample(model, texts, P.row_seeds([1, 2, 3, 4], 1), 3) == want
+
+
+def test_distinct_words_are_not_worked_on_one_by_one(model):
+    """Python calls a distinct word: some 200 when lists were made in Python."""
+    words = sorted(set(some_words(6_000, 9, "abcdehilnorstu")))
+    calls = 0
+
+    def count(*_):
+        nonlocal calls
+        calls += 1
+
+    # Only the lists: draws from outside them do need a lattice.
+    model.draw, draw = lambda *_: (-9.0, b"\1\0\0\0"), model.draw
+    sys.setprofile(count)
+    try:
+        P.sample(model, [" ".join(words)], P.row_seeds([1], 1), 2)
+    finally:
+        sys.setprofile(None)
+        model.draw = draw
+    assert calls < 20 * len(words)
