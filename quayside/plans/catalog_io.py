@@ -362,10 +362,14 @@ def _(s, d):
 FAR = 2 * 10**12
 
 
-def _run(s, stream, name):
-    out, checkpoint = scratch(s, name), scratch(s, f"{name}-checkpoint")
-    _end(flows.sink(stream, out, checkpoint))
-    return out, checkpoint
+def _stream(s, d, df, schema, files=3, first=lambda stream: None):
+    """A stream of df and of the far row, which is written when first has returned."""
+    path = scratch(s, "stream")
+    df.repartition(files).write.parquet(path)
+    stream = flows.watch(s, path, schema, files_per_trigger=1)
+    first(stream)
+    df.limit(1).withColumn("ms", F.lit(FAR)).coalesce(1).write.mode("append").parquet(path)
+    return stream
 
 
 def _end(q):
@@ -374,36 +378,40 @@ def _end(q):
         raise TimeoutError("the stream has not ended")
 
 
-def _drained(s, df, schema, flow, name, files=3):
-    """All rows of flow over a stream of df."""
-    path = scratch(s, "stream")
-    df.repartition(files).write.parquet(path)
-    stream = flow(flows.watch(s, path, schema, files_per_trigger=1))
-    out, checkpoint = _run(s, stream, name)
-    # The far row is written once the stream has read all others, and the stream goes on from its checkpoint: files come by their
-    # time, which need not tell files apart, and what came after the far row would be too late.
-    df.limit(1).withColumn("ms", F.lit(FAR)).coalesce(1).write.mode("append").parquet(path)
-    _end(flows.sink(stream, out, checkpoint))
+def _run(s, stream, name):
+    out = scratch(s, name)
+    _end(flows.sink(stream, out, scratch(s, f"{name}-checkpoint")))
     return s.read.schema(stream.schema).parquet(out)
 
 
+def _drained(s, d, df, schema, flow, name):
+    """All rows of flow over a stream of df."""
+    out, checkpoint = scratch(s, name), scratch(s, f"{name}-checkpoint")
+    run = lambda stream: _end(flows.sink(flow(stream), out, checkpoint))
+    # The far row is there only once all others have been read, and the stream goes on from its checkpoint: files come by their time,
+    # which need not tell files apart, and what came after the far row would be too late.
+    stream = _stream(s, d, df, schema, first=run)
+    run(stream)
+    return s.read.schema(flow(stream).schema).parquet(out)
+
+
 @query("st2_tumbling", """SELECT exchange, symbol, ms // 3600000 * 3600000 AS bar_ms, max(price) AS high, min(price) AS low, round(sum(amount), 7) AS volume, count(*) AS trade_count
     FROM trades_v GROUP BY 1, 2, 3""")
 def _(s, d):
-    b = _drained(s, views.trades(s, d), TRADES, lambda t: flows.trade_bars(t, 3600, "60 days"), "tumbling")
+    b = _drained(s, d, views.trades(s, d), TRADES, lambda t: flows.trade_bars(t, 3600, "60 days"), "tumbling")
     return b.select("exchange", "symbol", "bar_ms", "high", "low", nudged("volume", 7).alias("volume"), "trade_count")
 
 
 @query("st3_sliding", """SELECT exchange, symbol, round(avg(price), 7) AS mean_price, count(*) AS n FROM (SELECT *, unnest([0, 1]) AS k FROM trades_v) GROUP BY exchange, symbol, ms // 3600000 - k""")
 def _(s, d):
-    b = _drained(s, views.trades(s, d), TRADES, lambda t: flows.hopping_means(t, "price", 7200, 3600, "60 days"), "sliding")
+    b = _drained(s, d, views.trades(s, d), TRADES, lambda t: flows.hopping_means(t, "price", 7200, 3600, "60 days"), "sliding")
     return b.select("exchange", "symbol", nudged("mean_price", 7).alias("mean_price"), "n")
 
 
 @query("st4_sessions", f"""SELECT exchange, symbol, min(ms) AS first_ms, max(ms) AS last_ms, count(*) AS n, round(sum(amount), 6) AS volume FROM
     (SELECT *, sum(new) OVER ({_W}) AS g FROM (SELECT *, CASE WHEN ms - lag(ms) OVER ({_W}) >= 1800000 THEN 1 ELSE 0 END AS new FROM trades_v)) GROUP BY exchange, symbol, g""")
 def _(s, d):
-    b = _drained(s, views.trades(s, d), TRADES, lambda t: flows.sessions(t, "30 minutes", "60 days"), "sessions")
+    b = _drained(s, d, views.trades(s, d), TRADES, lambda t: flows.sessions(t, "30 minutes", "60 days"), "sessions")
     return b.select("exchange", "symbol", "first_ms", "last_ms", "n", nudged("volume", 6).alias("volume"))
 
 
@@ -415,9 +423,7 @@ def _(s, d):
     # One file, so that all rows of an instrument come in one batch, in order.
     b.coalesce(1).write.parquet(path)
     schema = "exchange string, symbol string, ms long, seq long, best_bid double, top_bid_size double, best_ask double, top_ask_size double"
-    stream = flows.order_flow(flows.watch(s, path, schema))
-    out, _ = _run(s, stream, "flow")
-    return rounded(s.read.schema(stream.schema).parquet(out).select("seq", "ofi"), 6)
+    return rounded(_run(s, flows.order_flow(flows.watch(s, path, schema)), "flow").select("seq", "ofi"), 6)
 
 
 @query("st12_streaming_transform", f", {_TF} SELECT seq, is_buy, round(dollar_volume, 7) AS dollar_volume FROM tf")
